@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casestar.config import RAW_TO_PUBLISHED, QuestionRules
-from casestar.plans.etl import build_warehouse
+from casestar.plans.etl import StagedStar, publish_star, stage_star
+from casestar.schemas import RAW
 from casestar.session import shared_folder
 from casestar.sources.readers import read_table
 from casestar.sources.warehouse import Warehouse
 from casestar.sources.writers import write_table
-from casestar.schemas import RAW
 
 # the driver tables cover 1995 to 2001
 RULES = QuestionRules(rate_years=(1996, 2000), trend_first_year=1995, period_split_year=1998,
@@ -137,8 +137,15 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _once(spark, sf_dir, "raw_zone", land), RAW)
 
 
+def star(spark: SparkSession, sf_dir: str) -> StagedStar:
+    """Clean table and dimensions, staged once per application."""
+    raw = raw_zone(spark, sf_dir)
+    return _once(spark, sf_dir, "star",
+                 lambda: stage_star(raw, work_path(spark, sf_dir, "warehouse")))
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The published warehouse, built once per application by the library's own ETL."""
-    raw = raw_zone(spark, sf_dir)
+    staged = star(spark, sf_dir)
     return _once(spark, sf_dir, "warehouse",
-                 lambda: build_warehouse(spark, raw, work_path(spark, sf_dir, "warehouse")))
+                 lambda: publish_star(staged, work_path(spark, sf_dir, "warehouse")))

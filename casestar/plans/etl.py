@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +25,20 @@ from casestar.operators.clean import (
     rename_raw,
     zero_to_null,
 )
-from casestar.operators.dimensions import build_dimension, published_dimension, standard_dimensions
-from casestar.operators.facts import BROADCAST_LIMIT_BYTES, build_fact, fact_base
+from casestar.operators.dimensions import (
+    Dimension,
+    build_dimension,
+    published_dimension,
+    standard_dimensions,
+)
+from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.keys import KeyedTable
 from casestar.operators.quality import fact_integrity, gate
 from casestar.sources.warehouse import Warehouse, publish
 from casestar.sources.writers import staged, write_partitioned, write_table
 
 COORDINATES = ["latitude", "longitude"]
+SMALL_DIMENSIONS = ("dim_vehicle", "dim_factor")
 FOREIGN_KEY_ORDER = ("date_key", "location_key", "vehicle_key", "factor_key")
 
 
@@ -73,42 +80,66 @@ def clean_records(raw: DataFrame, columns: RawColumns = RawColumns(),
             .drop("date_text"))
 
 
+@dataclass(frozen=True)
+class StagedStar:
+    """What the fact is built from: written tables under ``path`` that will not change any more."""
+
+    path: str
+    clean: DataFrame
+    dims: dict[str, Dimension]
+    keyed: dict[str, KeyedTable]
+
+    def base(self) -> DataFrame:
+        return fact_base(self.clean, self.dims.values())
+
+    def fact(self, broadcast=()) -> DataFrame:
+        return build_fact(self.base(), self.dims, self.keyed, broadcast=broadcast)
+
+
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str,
                     columns: RawColumns = RawColumns(), rules: CleanRules = CleanRules(),
-                    partition_by=PARTITION_COLUMNS,
-                    broadcast=("dim_vehicle", "dim_factor")) -> Warehouse:
-    """Build, check and publish a new version of the warehouse under ``root``.
+                    partition_by=PARTITION_COLUMNS, broadcast=SMALL_DIMENSIONS) -> Warehouse:
+    """Build, check and publish a new version of the warehouse under ``root``."""
+    return publish_star(stage_star(raw, root, columns, rules), root, partition_by, broadcast)
 
-    Tables that several jobs read are written under ``root`` first, so a lost executor costs a
-    re-read and every job sees the same keys. The version becomes visible through the manifest
-    after the gate has passed; an earlier version stays readable until then.
-    ``partition_by=()`` writes the fact unpartitioned.
+
+def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
+               rules: CleanRules = CleanRules()) -> StagedStar:
+    """Write the cleaned table and the dimensions of a new version.
+
+    Every job that follows reads these tables, so a lost executor costs a re-read and all
+    jobs see the same survivors and the same keys.
     """
-    version = f"v-{uuid.uuid4().hex}"
-    path = f"{root}/{version}"
+    path = f"{root}/v-{uuid.uuid4().hex}"
     clean = staged(clean_records(raw, columns, rules), f"{path}/_stage/clean")
     dims = standard_dimensions(rules)
-    keyed = build_dimensions(clean, dims, path)
+    return StagedStar(path, clean, dims, build_dimensions(clean, dims, path))
+
 
-    base = fact_base(clean, dims.values())
-    fact = build_fact(base, dims, keyed, broadcast=broadcast)
+def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
+                 broadcast=SMALL_DIMENSIONS) -> Warehouse:
+    """Write the fact, check it, and make the version visible.
+
+    An earlier version stays the readable one until the gate has passed.
+    ``partition_by=()`` writes the fact unpartitioned.
+    """
+    spark = star.clean.sparkSession
+    fact = star.fact(broadcast)
     if partition_by:
-        write_partitioned(fact, f"{path}/fact_crash", partition_by)
+        write_partitioned(fact, f"{star.path}/fact_crash", partition_by)
     else:
-        write_table(fact, f"{path}/fact_crash")
+        write_table(fact, f"{star.path}/fact_crash")
 
-    warehouse = Warehouse(spark, path, rows={}, payload_bytes={})
-    metrics = fact_integrity(warehouse.table("fact_crash"), clean, "collision_id", FOREIGN_KEY_ORDER)
-    observed = metrics.first()
+    written = Warehouse(spark, star.path, rows={}, payload_bytes={}).table("fact_crash")
+    observed = fact_integrity(written, star.clean, "collision_id", FOREIGN_KEY_ORDER).first()
     gate(observed, "collision_id", FOREIGN_KEY_ORDER)
 
     published = Warehouse(
-        spark, path,
-        rows={"fact_crash": observed.fact_rows} | {n: k.rows for n, k in keyed.items()},
-        payload_bytes={n: k.payload_bytes for n, k in keyed.items()},
-        broadcast_limit=BROADCAST_LIMIT_BYTES,
+        spark, star.path,
+        rows={"fact_crash": observed.fact_rows} | {n: k.rows for n, k in star.keyed.items()},
+        payload_bytes={n: k.payload_bytes for n, k in star.keyed.items()},
     )
-    publish(published, root, version, time.time_ns())
+    publish(published, root, star.path.rsplit("/", 1)[-1], time.time_ns())
     return published
 
 

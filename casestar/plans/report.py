@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casestar.operators.windows import (
     distinct_text,
@@ -67,7 +68,7 @@ def insight_rows(results: Mapping[str, DataFrame], commentary: Mapping[str, list
         if title not in results:
             continue
         leader = top_k(results[title], _leading_order(title), 1)
-        computed = [F.format_string("- " + text, *[F.col(c) for c in columns])
+        computed = [F.format_string("- " + text, *[_printable(leader, c) for c in columns])
                     for text, columns in sentences]
         fixed = [F.lit(f"- {text}") for text in notes.get(title, [])]
         lines = F.array(F.lit(title), *computed, *fixed, F.lit(""))
@@ -77,6 +78,13 @@ def insight_rows(results: Mapping[str, DataFrame], commentary: Mapping[str, list
     return rows.select("section_no", (F.col("at") + 1).alias("line_no"), "line")
 
 
+def _printable(df: DataFrame, column: str) -> Column:
+    # format_string knows no decimals
+    if isinstance(df.schema[column].dataType, T.DecimalType):
+        return F.col(column).cast("double")
+    return F.col(column)
+
+
 def _leading_order(title: str):
     if title not in LEADING:
         return [F.lit(1)]
