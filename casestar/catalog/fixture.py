@@ -35,7 +35,8 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table. Orders meet customers before they meet lines, so only orders are shuffled
-    for it, and each join carries just the columns the record needs."""
+    for it, and each join carries just the columns the record needs. Lines and orders grow
+    together, so neither is a side to broadcast: they merge, and a hot key is split there."""
     customers = (
         given(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         .join(given(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
@@ -47,7 +48,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(customers, F.col("o_custkey") == F.col("c_custkey")))
     lines = (given(spark, sf_dir, "lineitem")
              .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
-             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
              .join(given(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size"),
                    F.col("l_partkey") == F.col("p_partkey"))
              .join(given(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),

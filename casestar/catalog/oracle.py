@@ -263,6 +263,7 @@ def _shape(name: str, columns: int) -> str:
 
 RAW_LINE = f"concat_ws('|', {', '.join(RAW_NAMES)})"
 RAW_LINE_BYTES = f"CAST(sum(strlen({RAW_LINE}) + 1) AS BIGINT)"
+RAW_TEXT_BYTES = f"CAST(sum({' + '.join(f'coalesce(strlen({name}), 0)' for name in RAW_NAMES)}) AS BIGINT)"
 ORDER_KEY_BYTES = "CAST(sum(strlen(CAST(l_orderkey AS VARCHAR)) + 1) AS BIGINT)"
 
 CHECKS = ("null_collision_id", "null_date_key", "null_location_key", "null_vehicle_key",
@@ -359,8 +360,8 @@ def oracle_sql() -> dict[str, str]:
         "sink_csv_roundtrip": _with("SELECT * FROM heat", "heat"),
         "src_result_csv": _with("SELECT * FROM months", "months"),
         "land_raw_verify": _with(
-            f"SELECT count(*) AS source_lines, {RAW_LINE_BYTES} AS source_bytes, "
-            f"count(*) AS landed_lines, {RAW_LINE_BYTES} AS landed_bytes, true AS is_complete "
+            f"SELECT count(*) AS source_rows, {RAW_TEXT_BYTES} AS source_bytes, "
+            f"count(*) AS landed_rows, {RAW_TEXT_BYTES} AS landed_bytes, true AS is_complete "
             "FROM raw", "raw"),
         "star_base": _with("SELECT * FROM star", "star"),
         "topk_preview": _with(

@@ -107,7 +107,7 @@ def sink_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def sink_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = fixture.scratch_path(spark, sf, "fact_partitioned")
-    writers.write_partitioned(fixture.star(spark, sf).fact(etl.SMALL_DIMENSIONS), path,
+    writers.write_partitioned(fixture.star(spark, sf).fact(etl.ALL_DIMENSIONS), path,
                               ["partition_year", "partition_month"])
     return readers.read_table(spark, path)
 
@@ -134,9 +134,9 @@ def src_result_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def land_raw_verify(spark: SparkSession, sf: str) -> DataFrame:
-    source = fixture.scratch_path(spark, sf, "source_text")
-    zone = fixture.scratch_path(spark, sf, "landed_text")
-    _raw_lines(spark, sf).write.text(source)
+    source = fixture.scratch_path(spark, sf, "source_csv")
+    zone = fixture.scratch_path(spark, sf, "landed_csv")
+    writers.write_raw_csv(fixture.raw_zone(spark, sf), source)
     landing.land_raw(spark, source, zone)
     return landing.landing_report(spark, source, zone)
 
@@ -311,7 +311,7 @@ def queries() -> dict[str, Query]:
         "dim_surrogate_keys": dim_surrogate_keys,
         "fact_base": lambda spark, sf: fixture.star(spark, sf).base(),
         "fact_build": lambda spark, sf: fixture.star(spark, sf).fact(),
-        "fact_build_broadcast": lambda spark, sf: fixture.star(spark, sf).fact(tuple(FOREIGN_KEYS)),
+        "fact_build_broadcast": lambda spark, sf: fixture.star(spark, sf).fact(etl.ALL_DIMENSIONS),
         "join_null_safe": join_null_safe,
         "agg_count_by_group": _question(ask.crashes_by_borough),
         "q1_rate_rank": lambda spark, sf: _rounded(_rates(spark, sf), show.RATE),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casestar.functions import (
@@ -31,29 +31,32 @@ def drop_blank_key(df: DataFrame, key: str) -> DataFrame:
     return df.filter(~is_blank(F.col(key)))
 
 
-def dedup_by_key(df: DataFrame, key: str, order_cols: list[str] | None = None,
-                 copies: str | None = None) -> DataFrame:
+def _other_columns(df: DataFrame, key: str, leading) -> list[str]:
+    first = list(leading or [])
+    return first + [name for name in df.columns if name != key and name not in first]
+
+
+def dedup_by_key(df: DataFrame, key: str, order_cols: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest in the order of ``order_cols`` (default: all the others).
 
-    An aggregate with a struct minimum instead of a row_number window: the copies of a key
-    shrink to one row in each map task, so a key that owns a third of the table never
-    travels to one reducer. Columns outside ``order_cols`` break the remaining ties, so the
-    survivor does not depend on partitioning. ``copies`` names an optional column with the
-    number of rows the key had.
+    Columns outside ``order_cols`` break the remaining ties, so the survivor does not depend
+    on partitioning. Because only row number 1 is kept, each map task already drops all but
+    its own smallest copy before the shuffle (``WindowGroupLimit`` in the plan): a key that
+    owns a third of the table arrives at its reducer as one row per map task.
     """
-    rest = [name for name in df.columns if name != key]
-    leading = list(order_cols or [])
-    ordered = leading + [name for name in rest if name not in leading]
-    aggregates = [F.min(F.struct(*[F.col(f"`{name}`") for name in ordered])).alias("_first")]
-    if copies:
-        aggregates.append(F.count(F.lit(1)).alias(copies))
-    grouped = df.groupBy(F.col(f"`{key}`")).agg(*aggregates)
-    kept = [key] + rest
-    return grouped.select(
-        *[F.col(f"`{name}`") if name == key else F.col(f"_first.`{name}`").alias(name)
-          for name in kept],
-        *([copies] if copies else []),
+    order = [F.col(f"`{name}`").asc_nulls_first() for name in _other_columns(df, key, order_cols)]
+    place = F.row_number().over(Window.partitionBy(F.col(f"`{key}`")).orderBy(*order))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
+
+
+def first_with_copies(df: DataFrame, key: str, copies: str) -> DataFrame:
+    """The rows of ``dedup_by_key`` plus how many rows each key had, combined in the map tasks."""
+    rest = _other_columns(df, key, None)
+    grouped = df.groupBy(F.col(f"`{key}`")).agg(
+        F.min(F.struct(*[F.col(f"`{name}`") for name in rest])).alias("_first"),
+        F.count(F.lit(1)).alias(copies),
     )
+    return grouped.select(F.col(f"`{key}`"), "_first.*", copies)
 
 
 def dedup_any(df: DataFrame, key: str) -> DataFrame:

@@ -38,11 +38,13 @@ def build_fact(base: DataFrame, dims: dict[str, Dimension], keyed: dict[str, Key
 
     Names in ``broadcast`` are hinted only if their measured size allows it. Every other join
     is left to the adaptive planner, which splits the partition of a hot natural key.
+    Smaller dimensions go first: they turn wide texts into one number while the rows are
+    still in the scan, so the joins that do shuffle carry narrow rows.
     Natural keys are unique in the dimension, so no join can add rows.
     """
     hinted = set(broadcast)
     joined = base
-    for name, dim in dims.items():
+    for name, dim in sorted(dims.items(), key=lambda item: keyed[item[0]].payload_bytes):
         side = keyed[name].frame.select(
             dim.key, *[F.col(n).alias(f"d_{n}") for n in dim.natural_names])
         if name in hinted and fits_broadcast(keyed[name]):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from casestar.functions import is_blank
-from casestar.operators.clean import dedup_by_key
+from casestar.operators.clean import first_with_copies
 
 
 class GateFailure(RuntimeError):
@@ -115,7 +115,7 @@ def step_audit(raw: DataFrame, key: str, date_text: str, date_format: str) -> Da
     Blank and null keys are grouped like any other and told apart afterwards, so the raw
     table is read once, not once per counter.
     """
-    survivors = dedup_by_key(raw, key, copies="_copies")
+    survivors = first_with_copies(raw, key, "_copies")
     has_key = ~is_blank(F.col(key))
     dated = F.try_to_date(F.col(date_text), date_format).isNotNull()
     totals = survivors.agg(
@@ -157,9 +157,9 @@ def fact_integrity(fact: DataFrame, base: DataFrame, key: str, foreign_keys) ->
         F.countDistinct(key).alias("distinct_ids"),
         *[F.count_if(F.col(name).isNull()).alias(f"null_{name}")
           for name in (key, *foreign_keys)],
-    ).withColumn("_one", F.lit(1))
-    wanted = base.agg(F.count(F.lit(1)).alias("base_rows")).withColumn("_one", F.lit(1))
-    return seen.join(wanted, "_one").select(
+    )
+    wanted = base.agg(F.count(F.lit(1)).alias("base_rows"))
+    return one_row(seen, wanted).select(
         "fact_rows", "base_rows",
         (F.col("fact_rows") - F.col("base_rows")).alias("row_inflation"),
         (F.col("fact_rows") - F.col("distinct_ids")).alias("duplicate_ids"),
@@ -167,6 +167,12 @@ def fact_integrity(fact: DataFrame, base: DataFrame, key: str, foreign_keys) ->
     )
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Side-by-side columns of one-row frames, without a join."""
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
 def zero_checks(key: str, foreign_keys) -> list[str]:
     """Metrics of ``fact_integrity`` that have to be zero."""
     return [f"null_{name}" for name in (key, *foreign_keys)] + ["row_inflation", "duplicate_ids"]

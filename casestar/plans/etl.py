@@ -38,7 +38,7 @@ from casestar.sources.warehouse import Warehouse, publish
 from casestar.sources.writers import staged, write_partitioned, write_table
 
 COORDINATES = ["latitude", "longitude"]
-SMALL_DIMENSIONS = ("dim_vehicle", "dim_factor")
+ALL_DIMENSIONS = ("dim_date", "dim_location", "dim_vehicle", "dim_factor")
 FOREIGN_KEY_ORDER = ("date_key", "location_key", "vehicle_key", "factor_key")
 
 
@@ -98,7 +98,7 @@ class StagedStar:
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str,
                     columns: RawColumns = RawColumns(), rules: CleanRules = CleanRules(),
-                    partition_by=PARTITION_COLUMNS, broadcast=SMALL_DIMENSIONS) -> Warehouse:
+                    partition_by=PARTITION_COLUMNS, broadcast=ALL_DIMENSIONS) -> Warehouse:
     """Build, check and publish a new version of the warehouse under ``root``."""
     return publish_star(stage_star(raw, root, columns, rules), root, partition_by, broadcast)
 
@@ -117,11 +117,12 @@ def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
 
 
 def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
-                 broadcast=SMALL_DIMENSIONS) -> Warehouse:
+                 broadcast=ALL_DIMENSIONS) -> Warehouse:
     """Write the fact, check it, and make the version visible.
 
     An earlier version stays the readable one until the gate has passed.
-    ``partition_by=()`` writes the fact unpartitioned.
+    ``partition_by=()`` writes the fact unpartitioned. ``broadcast`` names the dimensions that
+    may be broadcast; each still has to pass the check of its measured size.
     """
     spark = star.clean.sparkSession
     fact = star.fact(broadcast)

@@ -26,6 +26,23 @@ LOCAL_SETTINGS = {
 _local_folders: dict[str, str] = {}
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_settings(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a known amount of shuffled data.
+
+    Partitions start at about 128 MB each, small enough to sort in memory, and the adaptive
+    planner merges the ones that turn out smaller. Scans read in pieces of twice that.
+    """
+    partitions = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * SHUFFLE_PARTITION_BYTES),
+    }
+
+
 def get_session(app: str = "casestar", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the library's settings. ``master=None`` leaves the choice to spark-submit."""
     builder = SparkSession.builder.appName(app)

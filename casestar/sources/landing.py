@@ -1,30 +1,50 @@
-"""Landing a raw text file in the raw zone, and checking what arrived."""
+"""Landing a raw CSV in the raw zone, and checking what arrived."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casestar.operators.quality import file_audit
+from casestar.functions import text_bytes
+from casestar.operators.quality import file_audit, one_row
+from casestar.sources.readers import read_raw_csv
+from casestar.sources.writers import write_raw_csv
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with every byte but the line feed, for audits of a raw file."""
+    return spark.read.option("lineSep", "\n").text(path)
 
 
 def land_raw(spark: SparkSession, source: str, raw_zone: str) -> None:
-    """Copy lines as they are, replacing what the raw zone held."""
-    spark.read.text(source).write.mode("overwrite").text(raw_zone)
+    """Copy the records, replacing what the raw zone held.
+
+    Values stay text as they were. Many tasks write many files, so each gets the header:
+    copying bare lines would leave it in the first file only, and a reader that expects one
+    per file would then lose a record in each of the others.
+    """
+    write_raw_csv(read_raw_csv(spark, source), raw_zone)
 
 
 def landing_report(spark: SparkSession, source: str, raw_zone: str) -> DataFrame:
-    """Lines and bytes on both sides, and whether they agree."""
+    """Records and bytes of text on both sides, and whether the records are the same.
+
+    The comparison adds up a hash per record, so it needs no order and no shuffle.
+    """
     def totals(path: str, side: str) -> DataFrame:
-        return spark.read.text(path).agg(
-            F.count(F.lit(1)).alias(f"{side}_lines"),
-            F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).alias(f"{side}_bytes"),
-        ).withColumn("_one", F.lit(1))
-
-    both = totals(source, "source").join(totals(raw_zone, "landed"), "_one").drop("_one")
-    agree = ((F.col("source_lines") == F.col("landed_lines"))
-             & (F.col("source_bytes") == F.col("landed_bytes")))
-    return both.withColumn("is_complete", agree)
+        records = read_raw_csv(spark, path)
+        texts = [F.col(f"`{name}`") for name in records.columns]
+        marked = [F.coalesce(text, F.lit("\0")) for text in texts]
+        return records.agg(
+            F.count(F.lit(1)).alias(f"{side}_rows"),
+            F.coalesce(F.sum(text_bytes(texts)), F.lit(0)).alias(f"{side}_bytes"),
+            F.sum(F.xxhash64(*marked).cast("decimal(20,0)")).alias(f"{side}_hash"),
+        )
+
+    both = one_row(totals(source, "source"), totals(raw_zone, "landed"))
+    same = ((F.col("source_rows") == F.col("landed_rows"))
+            & F.col("source_hash").eqNullSafe(F.col("landed_hash")))
+    return both.withColumn("is_complete", same).drop("source_hash", "landed_hash")
 
 
 def landed_files(spark: SparkSession, raw_zone: str) -> DataFrame:

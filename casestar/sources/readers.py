@@ -10,24 +10,19 @@ from casestar.config import RAW_TO_PUBLISHED
 from casestar.schemas import RESULTS, all_strings
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file or folder, from its header line alone."""
-    return spark.read.csv(path, header=True, inferSchema=False).columns
-
-
 def read_raw_csv(spark: SparkSession, path: str, names=None) -> DataFrame:
-    """Every column as text. ``names`` gives the header order; without it the header is read.
+    """Every column as text, named by the header. A missing path fails.
 
-    A missing path fails, as does a header that differs from ``names``.
+    With ``names`` the header is not looked up first; a file whose header differs fails.
     """
-    columns = list(names) if names is not None else csv_header(spark, path)
-    return (spark.read.schema(all_strings(columns))
-            .option("header", "true")
-            .option("enforceSchema", "false")
-            .csv(path))
+    reader = spark.read.option("header", "true")
+    if names is not None:
+        reader = reader.schema(all_strings(names)).option("enforceSchema", "false")
+    return reader.csv(path)
 
 
 def read_standard_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A file that holds exactly the columns the warehouse reads."""
     return read_raw_csv(spark, path, RAW_TO_PUBLISHED)
 
 
