@@ -79,7 +79,8 @@ def encoding_audit(df: DataFrame, columns) -> DataFrame:
         sums += [
             F.count(text).alias(f"n{at}"),
             F.count_if(F.is_valid_utf8(text)).alias(f"u{at}"),
-            F.count_if(F.octet_length(text) == F.char_length(text)).alias(f"a{at}"),
+            F.count_if(F.is_valid_utf8(text)
+                       & (F.octet_length(text) == F.char_length(text))).alias(f"a{at}"),
         ]
     rows = [
         F.struct(
