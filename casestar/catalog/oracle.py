@@ -364,6 +364,10 @@ def oracle_sql() -> dict[str, str]:
             f"count(*) AS landed_rows, {RAW_TEXT_BYTES} AS landed_bytes, true AS is_complete "
             "FROM raw", "raw"),
         "star_base": _with("SELECT * FROM star", "star"),
+        "sql_over_view": _with(
+            "SELECT is_weekend, property_damage_only, count(*) AS crashes, "
+            "CAST(sum(persons_injured) AS BIGINT) AS injured FROM star "
+            "WHERE on_street_name IS NOT NULL GROUP BY 1, 2", "star"),
         "topk_preview": _with(
             'SELECT * FROM peaks ORDER BY total_pedestrian_injuries DESC, "hour", day_of_week, '
             "contributing_factor LIMIT 15", "peaks"),

@@ -14,7 +14,7 @@ from casestar.operators import clean as C
 from casestar.operators import quality as Q
 from casestar.operators.dimensions import build_dimension
 from casestar.operators.facts import build_fact, fact_base
-from casestar.operators.rollup import FOREIGN_KEYS, star_base
+from casestar.operators.rollup import FOREIGN_KEYS, register_star_view, star_base
 from casestar.operators.windows import highlight, pick, top_k
 from casestar.plans import etl
 from casestar.plans import questions as ask
@@ -147,6 +147,18 @@ def topk_preview(spark: SparkSession, sf: str) -> DataFrame:
                          "contributing_factor"], 15)
 
 
+def sql_over_view(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text over the registered star."""
+    register_star_view(fixture.warehouse(spark, sf))
+    return spark.sql("""
+        SELECT is_weekend, property_damage_only, count(*) AS crashes,
+               sum(persons_injured) AS injured
+        FROM analytics_base
+        WHERE on_street_name IS NOT NULL
+        GROUP BY is_weekend, property_damage_only
+    """)
+
+
 # quality
 
 def dq_required_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,6 +294,7 @@ def queries() -> dict[str, Query]:
         "src_result_csv": src_result_csv,
         "land_raw_verify": land_raw_verify,
         "star_base": lambda spark, sf: star_base(fixture.warehouse(spark, sf)),
+        "sql_over_view": sql_over_view,
         "topk_preview": topk_preview,
         "dq_required_columns": dq_required_columns,
         "dq_duplicate_keys": dq_duplicate_keys,

@@ -37,6 +37,13 @@ def star_base(warehouse: Warehouse, dims=tuple(FOREIGN_KEYS), columns=None) -> D
     return joined.select(*(columns or measures + attributes + partitions))
 
 
+def register_star_view(warehouse: Warehouse, view: str = "analytics_base") -> DataFrame:
+    """The whole star as a temporary view for SQL text."""
+    base = star_base(warehouse)
+    base.createOrReplaceTempView(view)
+    return base
+
+
 @dataclass(frozen=True)
 class Rollup:
     """An aggregate over the star.

@@ -32,31 +32,34 @@ def validate_raw(spark: SparkSession, path: str, columns: RawColumns = RawColumn
     """
     raw = read_raw_csv(spark, path)
     absent = missing_columns(raw, columns.required)
-    files = file_audit(spark, path)
-    checks = [
-        files.agg(F.count_if(~F.col("is_accepted")).alias("n")).select(
-            *_check("files with another extension", F.col("n"), F.col("n") == 0, True)),
-        files.agg(F.sum("size_bytes").alias("n")).select(
-            *_check("bytes", F.col("n"), F.lit(True), False)),
-        table_counts({"raw": raw}).select(
-            *_check("rows", F.col("row_count"), F.col("row_count") > 0, False)),
-        table_counts({"raw": raw}).select(
-            *_check("columns", F.col("column_count"), F.lit(True), False)),
-        table_counts({"raw": raw}).select(
-            *_check("required columns missing", F.lit(len(absent)), F.lit(not absent), True)),
-        encoding_audit(read_lines(spark, path), ["value"]).select(
-            *_check("lines that are not UTF-8", F.col("text_values") - F.col("valid_utf8_values"),
-                    F.col("text_values") == F.col("valid_utf8_values"), False)),
+    files = file_audit(spark, path).agg(
+        F.count_if(~F.col("is_accepted")).alias("refused"), F.sum("size_bytes").alias("size"))
+    shape = table_counts({"raw": raw})
+    lines = encoding_audit(read_lines(spark, path), ["value"])
+    broken = F.col("text_values") - F.col("valid_utf8_values")
+    reports = [
+        _checks(files,
+                ("files with another extension", F.col("refused"), F.col("refused") == 0, True),
+                ("bytes", F.col("size"), F.lit(True), False)),
+        _checks(shape,
+                ("rows", F.col("row_count"), F.col("row_count") > 0, False),
+                ("columns", F.col("column_count"), F.lit(True), False),
+                ("required columns missing", F.lit(len(absent)), F.lit(not absent), True)),
+        _checks(lines, ("lines that are not UTF-8", broken, broken == 0, False)),
     ]
     if key in raw.columns:
-        checks.append(duplicate_keys(raw, key).select(
-            *_check("duplicate keys", F.col("duplicate_rows"), F.col("duplicate_rows") == 0, False)))
-    return reduce(DataFrame.unionByName, checks)
+        copies = F.col("duplicate_rows")
+        reports.append(_checks(duplicate_keys(raw, key),
+                               ("duplicate keys", copies, copies == 0, False)))
+    return reduce(DataFrame.unionByName, reports)
 
 
-def _check(name: str, observed, passed, required: bool):
-    return (F.lit(name).alias("check_name"), observed.cast("bigint").alias("observed"),
-            passed.alias("passed"), F.lit(required).alias("is_required"))
+def _checks(metrics: DataFrame, *checks) -> DataFrame:
+    """Several checks on one row of metrics, so the input behind it is read once."""
+    rows = [F.struct(F.lit(name).alias("check_name"), observed.cast("bigint").alias("observed"),
+                     passed.alias("passed"), F.lit(required).alias("is_required"))
+            for name, observed, passed, required in checks]
+    return metrics.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def ingest(spark: SparkSession, path: str, raw_zone: str,

@@ -3,8 +3,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from samples import DEFAULTS
+
 from casestar.catalog import fixture
 from casestar.catalog.fixture import RULES
+from casestar.config import RAW_TO_PUBLISHED
 from casestar.plans import etl
 from casestar.plans import questions as ask
 from casestar.session import scale_settings, shared_folder
@@ -54,6 +57,31 @@ def test_small_dimensions_join_before_anything_is_shuffled(spark, conf):
     assert ["SortMergeJoin" in line for line in joins] == [True, True, False, False]
 
 
+def test_a_hot_natural_key_is_split_in_the_fact_join(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10000")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10000")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    # several map tasks, or there is nothing to split a partition by
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.files.openCostInBytes", "0")
+    conf("spark.sql.files.maxPartitionBytes", "50000")
+    # a third of the records share one location, the rest are spread
+    raw = spark.range(0, 60_000, 1, 8).select(*[F.lit(DEFAULTS.get(name)).cast("string").alias(name)
+                                                for name in RAW_TO_PUBLISHED], "id")
+    raw = raw.withColumns({
+        "COLLISION_ID": F.col("id").cast("string"),
+        "ZIP CODE": F.when(F.col("id") % 3 > 0, F.col("id").cast("string")),
+    }).drop("id")
+    star = etl.stage_star(raw, str(tmp_path))
+    found = star.fact()
+    rows = found.collect()
+    assert "SortMergeJoin(skew=true)" in plan(found)
+    assert len(rows) == len({r.collision_id for r in rows}) == 60_000
+    assert len({r.location_key for r in rows}) == 40_001
+
+
 def test_dimension_build_sorts_and_shuffles_once_after_the_distinct(spark, tmp_path):
     star = fixture.star(spark, SF)
     dim = star.dims["dim_location"]
