@@ -14,6 +14,9 @@ COMMON_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # a build runs more generated classes than the default 100, and each one that is evicted
+    # starts cold again
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 LOCAL_SETTINGS = {
