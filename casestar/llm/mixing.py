@@ -23,6 +23,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_TIMES = 2
 SLOT_CHUNK = 4096
+SLOTS_PER_TASK = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -79,7 +80,7 @@ def mix_slots(sources: DataFrame, shard_slots: int = 4096, seed: int = 17) -> Da
               .where(F.col("slots") > 0)
               .withColumn("_chunk", F.explode(F.sequence(
                   F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SLOT_CHUNK))))
-              .repartition("source_no", "_chunk"))
+              .repartition(1 + total // SLOTS_PER_TASK, "source_no", "_chunk"))
     each = (chunks.withColumn("_n", F.explode(F.sequence(
                 F.col("_chunk") * SLOT_CHUNK,
                 F.least((F.col("_chunk") + 1) * SLOT_CHUNK, F.col("slots")) - 1)))
@@ -119,7 +120,8 @@ def mixed(docs: DataFrame, block_words: int = 64, seed: int = 17) -> DataFrame:
     times = mix_slots(sources, seed=seed).groupBy("source_no", "block").agg(
         F.count("*").alias("times"))
     # a document's first row carries what all rows of it need, so that one sum collects them
-    taken = (parts.join(times, ["source_no", "block"], "left")
+    # the planner takes exploded sources for a small table, and would broadcast all the slots
+    taken = (parts.join(times.hint("merge"), ["source_no", "block"], "left")
              .groupBy("source_no", "start", "doc_id", "size", "source_size", "target")
              .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
     columns = ["doc_id", "size", "source_size", "target", "taken"]
