@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casestar.llm import decontamination, mixing, quality, sharding, simhash
+from casestar.llm import (decontamination, html, mixing, quality, rlz, sharding, simhash, suffixes,
+                          warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(_table(spark, sf_dir, "pages"))
+
+
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +46,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.without_copied(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"),
                                  _table(spark, sf_dir, "benchmark"))
