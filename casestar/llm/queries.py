@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casestar.llm import (decontamination, html, mixing, quality, rlz, sharding, simhash, suffixes,
-                          warc)
+from casestar.llm import (cotraining, decontamination, html, mixing, quality, rlz, sharding,
+                          simhash, suffixes, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(_table(spark, sf_dir, "documents"))
 
