@@ -134,7 +134,7 @@ def phrases(codes: np.ndarray, bounds: np.ndarray, units: Units) -> tuple[np.nda
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _batches(batches: Iterator[pa.RecordBatch], text: int, most: int = 16 << 20):
+def _batches(batches: Iterator[pa.RecordBatch], text: int, most: int = 3 << 20):
     """Batches cut to at most about ``most`` bytes of text, with the texts."""
     for batch in batches:
         texts = list(byte_values(batch.column(text)))
@@ -152,8 +152,8 @@ def _int64(column: pa.Array) -> np.ndarray:
     return np.asarray(column.cast(pa.int64()))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches that end where the first column changes its value."""
+def _grouped(batches: Iterator[pa.RecordBatch], most: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` rows that end where the first column changes its value."""
     rest = None
     for batch in batches:
         if rest is not None:
@@ -161,9 +161,11 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.asarray(batch.column(0))
         if not len(keys):
             continue
-        done = int(np.searchsorted(keys, keys[-1]))
-        if done:
-            yield batch.slice(0, done)
+        at, done = 0, int(np.searchsorted(keys, keys[-1]))
+        while at < done:
+            to = int(np.searchsorted(keys, keys[min(at + most, done) - 1], side="right"))
+            yield batch.slice(at, to - at)
+            at = to
         rest = batch.slice(done)
     if rest is not None and len(rest):
         yield rest
@@ -196,7 +198,7 @@ def settled(docs: DataFrame, units: Units) -> DataFrame:
                 names=["gram", "phrase", "doc", "times"])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _grouped(batches):
+        for batch in _grouped(batches, 100_000):
             gram, phrase, doc, times = (np.asarray(batch.column(i)) for i in range(4))
             local = times == 0
             known = doc[local], gram[local], phrase[local]
