@@ -80,8 +80,8 @@ class Rows:
         sizes = np.array([len(b) for b in buckets], np.int64)
         flat = np.concatenate([np.asarray(b, np.int64) for b in buckets]) if buckets else \
             np.empty(0, np.int64)
-        table = np.array(dense, float) if dense else np.empty((len(buckets), 0))
-        return Rows(flat, sizes, table.reshape(len(buckets), -1))
+        wide = len(dense[0]) if dense else 0
+        return Rows(flat, sizes, np.array(dense or [], float).reshape(len(buckets), wide))
 
     def take(self, rows: np.ndarray) -> Rows:
         start = np.cumsum(self.sizes) - self.sizes

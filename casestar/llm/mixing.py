@@ -100,7 +100,8 @@ def mixed(docs: DataFrame, block_words: int = 64, seed: int = 17) -> DataFrame:
     and ``target`` of its source (a null source is one too, the last), and ``taken``, the words
     of it that the mix takes, repeats counted.
 
-    A source's taken words differ from its target by less than a block. No document is taken
+    A source's taken words differ from its target by less than one and a half blocks (the last
+    block of a stream is shorter). No document is taken
     more than twice. Rows that repeat count each. Other columns are ignored.
     """
     sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),

@@ -1,7 +1,130 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others are tested against brute force: fingerprints and edit distances (op7, op10, pipeline),
+trained scores (op2), differencing (op8), page blocks (op4), and strings of bytes, of which the
+tables have too many for SQL (op3).
+"""
 
 from __future__ import annotations
 
+# The white space that separates words.
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+_QUALITY = rf"""
+WITH base AS (
+ SELECT row_number() OVER () AS row_no, doc_id, lang, source, coalesce(text, '') AS text
+ FROM documents),
+split AS (SELECT *, {_WORDS} AS words, string_split(text, chr(10)) AS lines FROM base),
+windows AS (
+ SELECT row_no, i, list_slice(words, i, i + 4) AS five
+ FROM (SELECT row_no, words, unnest(range(1, len(words) - 3)) AS i FROM split)),
+again AS (
+ SELECT row_no, i FROM windows
+ QUALIFY count(*) OVER (PARTITION BY row_no, five) > 1),
+repeats AS (
+ SELECT row_no, count(DISTINCT i + k) AS n
+ FROM again, (SELECT unnest(range(5)) AS k) GROUP BY row_no),
+filled AS (
+ SELECT row_no, unnest(list_filter(lines, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) > 0))
+  AS line FROM split),
+line_counts AS (
+ SELECT row_no, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+ FROM filled GROUP BY row_no),
+counts AS (
+ SELECT split.row_no, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(coalesce(length(array_to_string(words, '')), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+  coalesce(n_lines, 0) AS n_lines
+ FROM split LEFT JOIN repeats USING (row_no) LEFT JOIN line_counts USING (row_no)),
+failed AS (
+ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  1000 * word_chars // greatest(n_words, 1) AS word_length,
+  1000 * n_symbols // greatest(n_words, 1) AS symbols,
+  1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines,
+  1000 * n_repeat_words // greatest(n_words, 1) AS repeats
+ FROM counts),
+long AS (
+ SELECT lang, source, 'word_length' AS metric, word_length AS v, 800 AS spread FROM failed WHERE NOT base_failed
+ UNION ALL SELECT lang, source, 'symbols', symbols, 60 FROM failed WHERE NOT base_failed
+ UNION ALL SELECT lang, source, 'dup_lines', dup_lines, 160 FROM failed WHERE NOT base_failed
+ UNION ALL SELECT lang, source, 'repeats', repeats, 100 FROM failed WHERE NOT base_failed),
+bucketed AS (
+ SELECT *, CASE WHEN v < 32 THEN v ELSE v // CAST(power(2, length(bin(v)) - 5) AS BIGINT)
+  * CAST(power(2, length(bin(v)) - 5) AS BIGINT) END AS floor_v FROM long),
+levels AS (
+ SELECT 0 AS level, lang, source, metric, floor_v, spread FROM bucketed
+ UNION ALL SELECT 1, lang, NULL, metric, floor_v, spread FROM bucketed
+ UNION ALL SELECT 2, NULL, NULL, metric, floor_v, spread FROM bucketed),
+placed AS (
+ SELECT *, row_number() OVER (PARTITION BY level, lang, source, metric ORDER BY floor_v) AS r,
+  count(*) OVER (PARTITION BY level, lang, source, metric) AS n FROM levels),
+quartiles AS (
+ SELECT level, lang, source, metric, n, spread,
+  min(floor_v) FILTER (WHERE r * 4 >= n) AS q1, min(floor_v) FILTER (WHERE r * 4 >= n * 3) AS q3
+ FROM placed GROUP BY ALL),
+fences AS (
+ SELECT level, lang, source, metric, n, q3 + 3 * greatest(q3 - q1, spread) AS high,
+  CASE WHEN metric = 'word_length' THEN q1 - 3 * greatest(q3 - q1, spread) ELSE -1 END AS low
+ FROM quartiles),
+limits AS (
+ SELECT g.lang, g.source, g.metric,
+  CASE WHEN g.n >= 100 THEN g.low WHEN l.n >= 100 THEN l.low ELSE a.low END AS low,
+  CASE WHEN g.n >= 100 THEN g.high WHEN l.n >= 100 THEN l.high ELSE a.high END AS high
+ FROM (SELECT * FROM fences WHERE level = 0) g
+ JOIN (SELECT * FROM fences WHERE level = 1) l
+  ON g.metric = l.metric AND g.lang IS NOT DISTINCT FROM l.lang
+ JOIN (SELECT * FROM fences WHERE level = 2) a ON g.metric = a.metric),
+verdicts AS (
+ SELECT f.row_no, bool_and(CASE m.metric WHEN 'word_length' THEN f.word_length
+   WHEN 'symbols' THEN f.symbols WHEN 'dup_lines' THEN f.dup_lines ELSE f.repeats END
+  BETWEEN m.low AND m.high) AS inside
+ FROM failed f JOIN limits m
+  ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source
+ GROUP BY f.row_no)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND coalesce(inside, false) AS kept
+FROM failed LEFT JOIN verdicts USING (row_no)
+"""
+
+_ARCHIVES = """
+WITH payloads AS (
+ SELECT page_id, coalesce(html, '') AS html FROM pages),
+digests AS (
+ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest
+ FROM payloads),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+ CASE WHEN payload_bytes >= 1000 AND first_id <> page_id THEN 'revisit' ELSE 'response' END
+  AS record_type,
+ CASE WHEN payload_bytes >= 1000 AND first_id <> page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+_COPIED = rf"""
+WITH words AS (
+ SELECT row_number() OVER () AS row_no, doc_id, {_WORDS} AS words
+ FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+windows AS (
+ SELECT row_no, doc_id, i, array_to_string(list_slice(words, i, i + 12), ' ') AS words
+ FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM words)),
+copied AS (
+ SELECT row_no, i FROM windows
+ QUALIFY doc_id > min(doc_id) OVER (PARTITION BY words)),
+removed AS (
+ SELECT row_no, list(DISTINCT i + k) AS places
+ FROM copied, (SELECT unnest(range(13)) AS k) GROUP BY row_no),
+kept AS (
+ SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+  CASE WHEN places IS NULL THEN words
+   ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END AS words
+ FROM words LEFT JOIN removed USING (row_no))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+ sha256(coalesce(array_to_string(words, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": _QUALITY, "op5_arc_to_warc": _ARCHIVES,
+            "op9_rlz_dedup": _COPIED}
