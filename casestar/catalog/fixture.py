@@ -22,8 +22,7 @@ from casestar.sources.warehouse import Warehouse
 from casestar.sources.writers import write_table
 
 # the driver tables cover 1995 to 2001
-RULES = QuestionRules(rate_years=(1996, 2000), trend_first_year=1995, period_split_year=1998,
-                      geo_limit=500)
+RULES = QuestionRules(rate_years=(1996, 2000), trend_first_year=1995, period_split_year=1998)
 
 _lock = Lock()
 _built: dict[tuple, object] = {}

@@ -466,7 +466,7 @@ def oracle_sql() -> dict[str, str]:
         "q5_factor_rank": _with("SELECT * FROM factors", "factors"),
         "geo_points": _with(
             "SELECT latitude AS lat, longitude AS lon FROM star WHERE latitude IS NOT NULL "
-            "AND longitude IS NOT NULL ORDER BY collision_id LIMIT 500", "star"),
+            "AND longitude IS NOT NULL", "star"),
         # charts and report
         "pivot_heatmap": _with(
             f"SELECT day_of_week, {_cells(True)} FROM heat GROUP BY day_of_week", "heat"),

@@ -79,7 +79,7 @@ class QuestionRules:
     trend_first_year: int = 2012
     period_split_year: int = 2019
     severe_injured_at_least: int = 3
-    geo_limit: int = 50_000
+    geo_limit: int | None = None  # all located incidents
     # hour ranges are inclusive; every other hour is ``night_label``
     day_parts: tuple[tuple[str, int, int], ...] = (
         ("Morning", 5, 11),

@@ -43,39 +43,6 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def lowest_k(df: DataFrame, key: str, k: int, direct_below: int = 1000,
-             slices: int = 4096) -> DataFrame:
-    """The k rows with the smallest integer ``key``, in order.
-
-    A small k is a plain top-k, where each task hands over at most k rows. For a larger one
-    that would add up in the last task, so counts per slice of the key range first find a
-    ceiling below which about k rows lie, and only those are sorted. At most ``slices`` counts
-    come back to the driver per round, and the rounds narrow in on the slice that holds the
-    k-th row, so the result is exact for any distribution of keys.
-    """
-    if k <= direct_below:
-        return top_k(df, [key], k)
-    bounds = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    if bounds.low is None:
-        return df.limit(0)
-    low, ceiling, below = bounds.low, bounds.high + 1, 0
-    while True:
-        width = -(-(ceiling - low) // slices)
-        inside = df.filter((F.col(key) >= low) & (F.col(key) < ceiling))
-        # div, not /: the place must be exact for keys beyond 2**53
-        place = F.expr(f"(`{key}` - {low}) div {width}")
-        counts = inside.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect()
-        for row in sorted(counts, key=lambda r: r.place):
-            if below + row.n >= k:
-                break
-            below += row.n
-        start, candidates = low + row.place * width, below + row.n
-        ceiling = start + width
-        if candidates <= 4 * k or width == 1:
-            return top_k(df.filter(F.col(key) < ceiling), [key], k)
-        low = start
-
-
 def highlight(df: DataFrame, column: str | Column, value, out: str = "is_highlighted") -> DataFrame:
     """Mark the rows whose column equals the chosen value."""
     tested = F.col(column) if isinstance(column, str) else column

@@ -10,11 +10,17 @@ from casestar.config import PARTITION_COLUMNS, QuestionRules
 from casestar.operators.quality import partition_summary
 from casestar.plans import questions as ask
 from casestar.plans.report import insight_rows
+from casestar.schemas import result_schema
 from casestar.sources.readers import read_result_csv
 from casestar.sources.warehouse import Warehouse
 from casestar.sources.writers import write_result_csv, write_text_report
 
 
+# Results whose rows are bounded by the calendar or by the rules, so that one file suits them.
+BOUNDED = frozenset(("partition_summary", "q2_hour_day_heatmap", "q4_cyclist_injury_trends_monthly",
+                     "q4_pre_post_2019_summary"))
+
+
 def answers(warehouse: Warehouse, rules: QuestionRules = QuestionRules()) -> dict[str, DataFrame]:
     """Result name to result."""
     return {
@@ -35,10 +41,11 @@ def publish_answers(warehouse: Warehouse, folder: str, rules: QuestionRules = Qu
     """Write each answer as CSV, then the report. The report reads the written answers, so
     no question runs twice."""
     for name, result in answers(warehouse, rules).items():
-        write_result_csv(result, f"{folder}/csv/{name}")
+        write_result_csv(result, f"{folder}/csv/{name}", single_file=name in BOUNDED)
 
     def written(name: str) -> DataFrame:
-        return read_result_csv(warehouse.spark, f"{folder}/csv/{name}", name)
+        return read_result_csv(warehouse.spark, f"{folder}/csv/{name}",
+                               result_schema(name, rules.rate_scale))
 
     report = insight_rows({
         "Q1 Interpretation": written("q1_borough_fatality_rates"),
@@ -46,5 +53,5 @@ def publish_answers(warehouse: Warehouse, folder: str, rules: QuestionRules = Qu
         "Q3 Interpretation": written("q3_vehicle_fatal_nonfatal_by_borough"),
         "Q4 Interpretation": written("q4_cyclist_injury_trends_monthly"),
         "Q5 Interpretation": written("q5_multi_vehicle_3plus_injuries_factors"),
-    }, commentary)
+    }, commentary, rate_scale=rules.rate_scale)
     write_text_report(report, f"{folder}/text/insights_summary", order=("section_no", "line_no"))

@@ -33,7 +33,7 @@ from casestar.operators.dimensions import (
 )
 from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.keys import KeyedTable
-from casestar.operators.quality import fact_integrity, gate
+from casestar.operators.quality import GateFailure, fact_integrity, gate
 from casestar.sources.warehouse import Warehouse, publish
 from casestar.sources.writers import staged, write_partitioned, write_table
 
@@ -112,10 +112,25 @@ def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
     """
     path = f"{root}/v-{uuid.uuid4().hex}"
     clean = staged(clean_records(raw, columns, rules), f"{path}/_stage/clean")
+    check_ids(clean)
     dims = standard_dimensions(rules)
     return StagedStar(path, clean, dims, build_dimensions(clean, dims, path))
 
 
+def check_ids(clean: DataFrame, examples: int = 5) -> None:
+    """Stop before the first dimension if typed ids are missing or repeat: the gate would refuse
+    the finished build for them."""
+    repeated = (clean.groupBy("collision_id").agg(F.count(F.lit(1)).alias("n"))
+                .where("n > 1 or collision_id is null"))
+    found = repeated.agg(
+        F.coalesce(F.sum(F.when(F.col("collision_id").isNull(), F.col("n"))), F.lit(0)).alias("null"),
+        F.count("collision_id").alias("repeated")).first()
+    if found.null or found.repeated:
+        some = [r.collision_id for r in repeated.where("collision_id is not null")
+                .orderBy("collision_id").limit(examples).collect()]
+        raise GateFailure(f"null_collision_id={found.null}, duplicate_ids={found.repeated}: {some}")
+
+
 def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
                  broadcast=ALL_DIMENSIONS) -> Warehouse:
     """Write the fact, check it, and make the version visible.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from casestar.config import QuestionRules
 from casestar.functions import day_part, period_label, rate_per, severity, year_month_label
 from casestar.operators.rollup import Rollup, star_base, star_rollup
-from casestar.operators.windows import change_from_previous, lowest_k, rank_within
+from casestar.operators.windows import change_from_previous, rank_within, top_k
 from casestar.sources.warehouse import Warehouse
 
 FACT, DATE, LOCATION = "fact_crash", "dim_date", "dim_location"
@@ -130,7 +130,9 @@ def severe_crash_factors(warehouse: Warehouse, rules: QuestionRules = QuestionRu
 
 
 def located_points(warehouse: Warehouse, rules: QuestionRules = QuestionRules()) -> DataFrame:
-    """Coordinates of the located crashes with the lowest ids, up to the limit."""
+    """Coordinates of all located crashes. A caller's ``geo_limit`` keeps the lowest ids."""
     located = star_base(warehouse, [LOCATION], ["collision_id", "latitude", "longitude"]).filter(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return lowest_k(located, "collision_id", rules.geo_limit).select("latitude", "longitude")
+    if rules.geo_limit is not None:
+        located = top_k(located, ["collision_id"], rules.geo_limit)
+    return located.select("latitude", "longitude")

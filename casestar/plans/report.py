@@ -23,7 +23,7 @@ RATE = "fatality_rate_per_1000_crashes"
 # that fill them. They have to match reports already published.
 SECTIONS = (
     ("Q1 Interpretation", (
-        ("The highest borough-year fatality rate was %s in %d, with %.2f fatalities per 1000 crashes.",
+        ("The highest borough-year fatality rate was %s in %d, with %.2f fatalities per {scale} crashes.",
          ("borough", "year", RATE)),
     )),
     ("Q2 Interpretation", (
@@ -55,7 +55,7 @@ LEADING = {
 
 
 def insight_rows(results: Mapping[str, DataFrame], commentary: Mapping[str, list[str]] | None = None,
-                 sections=SECTIONS) -> DataFrame:
+                 sections=SECTIONS, rate_scale: int = 1000) -> DataFrame:
     """The report as rows (section_no, line_no, line).
 
     ``results`` maps a section title to its result frame; an empty result leaves its section
@@ -67,8 +67,12 @@ def insight_rows(results: Mapping[str, DataFrame], commentary: Mapping[str, list
     for number, (title, sentences) in enumerate(sections, start=1):
         if title not in results:
             continue
-        leader = top_k(results[title], _leading_order(title), 1)
-        computed = [F.format_string("- " + text, *[_printable(leader, c) for c in columns])
+        rate = RATE.replace("1000", str(rate_scale))
+        # a section without sentences only needs to know that there is a result
+        order = _leading_order(title, rate)
+        leader = top_k(results[title], order, 1) if order else results[title].limit(1)
+        computed = [F.format_string("- " + text.replace("{scale}", str(rate_scale)),
+                                    *[_printable(leader, rate if c == RATE else c) for c in columns])
                     for text, columns in sentences]
         fixed = [F.lit(f"- {text}") for text in notes.get(title, [])]
         lines = F.array(F.lit(title), *computed, *fixed, F.lit(""))
@@ -85,11 +89,11 @@ def _printable(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def _leading_order(title: str):
+def _leading_order(title: str, rate: str):
     if title not in LEADING:
-        return [F.lit(1)]
+        return []
     direction, measure, ties = LEADING[title]
-    return [direction(measure), *ties]
+    return [direction(rate if measure == RATE else measure), *ties]
 
 
 def borough_year_label() -> Column:

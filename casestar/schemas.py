@@ -82,3 +82,10 @@ RESULTS = {
     ),
     "bonus_geo_density_points": fields(latitude=REAL, longitude=REAL),
 }
+
+
+def result_schema(name: str, rate_scale: int = 1000) -> T.StructType:
+    """The schema of a published result; the rate's column is named by its scale."""
+    return T.StructType([
+        T.StructField(f.name.replace("per_1000_", f"per_{rate_scale}_"), f.dataType, f.nullable)
+        for f in RESULTS[name].fields])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
@@ -26,9 +26,6 @@ LOCAL_SETTINGS = {
     "spark.sql.shuffle.partitions": "8",
 }
 
-_local_folders: dict[str, str] = {}
-
-
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -63,16 +60,12 @@ def get_session(app: str = "casestar", master: str | None = None, **settings: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder for staged tables: ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local-mode session without that setting gets a temporary folder. On a cluster a
-    driver-local folder would be lost with its machine, so the setting is then required.
+    A session with one machine (``local`` or ``local[n]``) that does not set it stages below its
+    warehouse folder; any other has to set it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="casestar-")
-    return _local_folders[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"

@@ -25,8 +25,8 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_result_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """A result with header. One file suits an aggregate; pass False for anything large."""
+def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """A result with header. One file suits an aggregate of bounded size."""
     out = df.coalesce(1) if single_file else df
     _csv_writer(out).csv(path)
 
@@ -37,7 +37,7 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
 
 def _csv_writer(df: DataFrame):
     # the writer would otherwise trim values
-    return (df.write.mode("overwrite").option("header", "true")
+    return (df.write.mode("overwrite").option("header", "true").option("escape", '"')
             .option("ignoreLeadingWhiteSpace", "false")
             .option("ignoreTrailingWhiteSpace", "false"))
 

@@ -101,3 +101,37 @@ def test_command_line_from_file_to_answers(spark, tmp_path, monkeypatch):
         ("BRONX, NORTH", 2020, 20, 20)]
     report = "".join(p.read_text() for p in (tmp_path / "out/text/insights_summary").glob("part-*"))
     assert report.startswith("Q1 Interpretation\n- The highest borough-year fatality rate was BRONX, NORTH")
+
+
+QUOTED = '''id,street,borough
+1,"A ""X"" B, C",BRONX
+3,"back\\",MANHATTAN
+4,plain,BROOKLYN
+'''
+
+
+def test_quoted_fields_are_read_and_landed_as_written(spark, tmp_path):
+    (tmp_path / "source").mkdir()
+    (tmp_path / "source" / "a.csv").write_text(QUOTED)
+    wanted = {("1", 'A "X" B, C', "BRONX"), ("3", "back\\", "MANHATTAN"),
+              ("4", "plain", "BROOKLYN")}
+    source, zone = str(tmp_path / "source"), str(tmp_path / "quoted_zone")
+    assert {tuple(r) for r in readers.read_raw_csv(spark, source).collect()} == wanted
+    landing.land_raw(spark, source, zone)
+    assert {tuple(r) for r in readers.read_raw_csv(spark, zone).collect()} == wanted
+    report = landing.landing_report(spark, source, zone).first()
+    assert (report.source_rows, report.landed_rows, report.is_complete) == (3, 3, True)
+
+
+def test_line_breaks_in_quotes_take_multi_line(spark, tmp_path):
+    (tmp_path / "b.csv").write_text('id,street\n2,"line\nbreak"\n')
+    rows = readers.read_raw_csv(spark, str(tmp_path / "b.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("2", "line\nbreak")]
+
+
+def test_another_header_order_fails(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "1.csv").write_text("id,borough,zip\n1,BRONX,10\n2,BRONX,11\n")
+    (tmp_path / "c" / "2.csv").write_text("id,zip,borough\n3,12,QUEENS\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_raw_csv(spark, str(tmp_path / "c")).collect()

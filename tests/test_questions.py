@@ -89,22 +89,6 @@ def test_month_labels_and_periods(spark, tmp_path):
         ("Post-2019", 7, 7.0), ("Pre-2019", 1392, 464.0)]
 
 
-@pytest.mark.parametrize("k", [1, 40, 999, 5000])
-@pytest.mark.parametrize("slices", [2, 7, 4096])
-def test_lowest_k_is_exact(spark, k, slices):
-    rng = random.Random(k)
-    keys = rng.sample(range(-10**15, 10**15), 500) + list(range(500)) + [2**62]
-    df = spark.createDataFrame([(x,) for x in keys], "id long").repartition(4)
-    found = windows.lowest_k(df, "id", k, direct_below=0, slices=slices)
-    assert [r.id for r in found.collect()] == sorted(keys)[:k]
-
-
-def test_lowest_k_with_equal_and_with_no_keys(spark):
-    df = spark.createDataFrame([(5,)] * 30, "id long")
-    assert windows.lowest_k(df, "id", 10, direct_below=0).count() == 10
-    assert windows.lowest_k(df.limit(0), "id", 10, direct_below=0).count() == 0
-
-
 def test_points_stop_at_the_limit(spark):
     warehouse = fixture.warehouse(spark, "/root/testdata/sf0.01")
     few = ask.located_points(warehouse, QuestionRules(geo_limit=20))
