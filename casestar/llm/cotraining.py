@@ -27,8 +27,8 @@ from casestar.llm.common import byte_values
 
 WORD_BITS = 18
 META_BITS = 12
-LABELLED = 20_000
-POOL = 20_000
+LABELLED = 8_000
+POOL = 8_000
 ROUNDS = 4
 SURE = 0.95
 GROWTH = 0.1
@@ -78,8 +78,8 @@ class Rows:
     @staticmethod
     def of(buckets: list[list[int]], dense: list[list[float]] | None = None) -> Rows:
         sizes = np.array([len(b) for b in buckets], np.int64)
-        flat = np.concatenate([np.asarray(b, np.int64) for b in buckets]) if buckets else \
-            np.empty(0, np.int64)
+        flat = np.concatenate([np.asarray(b, np.int32) for b in buckets]) if buckets else \
+            np.empty(0, np.int32)
         wide = len(dense[0]) if dense else 0
         return Rows(flat, sizes, np.array(dense or [], float).reshape(len(buckets), wide))
 
@@ -110,7 +110,7 @@ class Linear:
     spread: np.ndarray
 
     def margins(self, rows: Rows) -> np.ndarray:
-        owner = np.repeat(np.arange(len(rows.sizes)), rows.sizes)
+        owner = np.repeat(np.arange(len(rows.sizes), dtype=np.int32), rows.sizes)
         sums = np.bincount(owner, self.weights[rows.buckets], minlength=len(rows.sizes))
         return sums + (rows.dense - self.mean) / self.spread @ self.dense + self.bias
 
@@ -126,7 +126,7 @@ class Linear:
         state = [np.zeros((1 << bits) + wide + 1) for _ in range(2)]
         theta = np.concatenate((model.weights, model.dense, [model.bias]))
         scaled = (rows.dense - model.mean) / model.spread
-        owner = np.repeat(np.arange(len(y)), rows.sizes)
+        owner = np.repeat(np.arange(len(y), dtype=np.int32), rows.sizes)
         for step in range(1, steps + 1):
             model.weights, model.dense = theta[:1 << bits], theta[1 << bits:-1]
             model.bias = theta[-1]
@@ -259,22 +259,30 @@ def fitted(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     few = some.select(F.col("doc_id").alias("_id"), "_good")
     sample = docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).select(
         *[docs[c] for c in _INPUT], "_good")  # at most `labelled` rows are sent
-    taken = _featured(sample, "_good").toPandas().sort_values("doc_id", kind="stable")
+    taken = _featured(sample, "_good").toArrow().sort_by("doc_id")
     others = docs.where(_picked(F.col("doc_id"), min(1.0, pool / max(n_docs, 1)), 7)).select(
         *[docs[c] for c in _INPUT])
-    others = _featured(others).orderBy("doc_id").limit(pool).toPandas()
-    others = others[~others["doc_id"].isin(taken["doc_id"])]
-    held = np.array([xxhash.xxh3_64_intdigest(str(d).encode()) % HELD_OUT == 0
-                     for d in taken["doc_id"]], bool)
-
-    def rows(frame) -> tuple[Rows, Rows]:
-        stats = [list(s) for s in frame["statistics"]]
-        text = Rows.of(list(frame["buckets"]), stats)
-        if not stats:
-            text.dense = np.empty((0, STATISTICS))
-        return text, Rows.of(list(frame["meta"]))
-
-    return co_trained(*rows(taken), taken["_good"].to_numpy(float), held, *rows(others))
+    others = _featured(others).orderBy("doc_id").limit(pool).toArrow()
+    ids = taken["doc_id"].to_pylist()
+    seen = set(ids)
+    others = others.filter(pa.array([d not in seen for d in others["doc_id"].to_pylist()],
+                                    pa.bool_()))
+    held = np.array([xxhash.xxh3_64_intdigest(str(d).encode()) % HELD_OUT == 0 for d in ids], bool)
+    return co_trained(*_fetched(taken), np.array(taken["_good"].to_pylist(), float), held,
+                      *_fetched(others))
+
+
+def _fetched(table: pa.Table) -> tuple[Rows, Rows]:
+    """Both views of fetched rows, straight from the Arrow buffers."""
+    def sparse(name: str) -> tuple[np.ndarray, np.ndarray]:
+        lists = table[name].combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):
+            lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
+        return np.asarray(lists.flatten()), np.diff(np.asarray(lists.offsets)).astype(np.int64)
+
+    statistics = sparse("statistics")[0].reshape(-1, STATISTICS)
+    return (Rows(*sparse("buckets"), statistics),
+            Rows(*sparse("meta"), np.empty((table.num_rows, 0))))
 
 
 def scored(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
