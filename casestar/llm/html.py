@@ -54,7 +54,6 @@ _TOKEN = re.compile(
     r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s=/]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.S)
-_WORDS = re.compile(r"[a-z]+(?:-[a-z]+)*|[a-z]+", re.I)
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -119,7 +118,7 @@ def blocks_of(page: str) -> tuple[list[str], list[bool]]:
                     # an open element of the kind ends here, but not beyond its container
                     for i in range(len(stack) - 1, -1, -1):
                         held = stack[i][0]
-                        if held == name or (name == "p" and held == "p"):
+                        if held == name:
                             leave(i)
                             break
                         if held in BLOCKS:

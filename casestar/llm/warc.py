@@ -13,7 +13,6 @@ like any table, lie in the shared folder, and a lost task leaves nothing behind.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 import uuid
@@ -135,10 +134,6 @@ def record_id(url: str, date: str, digest: str, page: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join((url, date, digest, page)))}>"
 
 
-def _base32(hexadecimal: str) -> str:
-    return "sha1:" + base64.b32encode(bytes.fromhex(hexadecimal)).decode()
-
-
 def converted(arc_files: DataFrame) -> DataFrame:
     """What the converter makes of each URL record, before it knows of equal payloads:
     ``page_id, url, date, kind, content_type, head, payload`` with ``digest`` (hexadecimal SHA-1
