@@ -306,6 +306,7 @@ def _sentences(number: int, title: str, source: str, order: str, *lines: str) ->
         f"{text} AS line FROM {picked}" for at, text in enumerate(texts, start=1))
 
 
+# The sentence formats of the published insight report.
 REPORT = " UNION ALL ".join([
     _sentences(
         1, "Q1 Interpretation", "rates", "fatality_rate_per_1000_crashes DESC, borough, \"year\"",
