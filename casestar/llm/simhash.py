@@ -200,9 +200,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
 
 
 def first_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Of rows that
-    repeat an id one stays."""
-    kept = (near_duplicates(docs, shingle, max_bits).select(F.col("component_id").alias("_kept"))
-            .distinct())
-    return (docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    """``docs`` with one document of each component: the one with the smallest id, a null id last;
+    of several with that id, the one whose text hashes lowest. Rows that repeat id and text are one
+    document, different texts under one id, or without an id, are not."""
+    content = F.xxhash64("text")
+    named = docs.select(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id",
+                                 content.alias("content")).alias("doc_id"), "text")
+    kept = (near_duplicates(named, shingle, max_bits).select("component_id.*").distinct()
+            .select(F.col("doc_id").alias("_kept_id"), F.col("content").alias("_kept_content")))
+    marked = docs.withColumn("_content_hash", content)
+    return (marked.join(kept, marked["doc_id"].eqNullSafe(kept["_kept_id"])
+                        & (marked["_content_hash"] == kept["_kept_content"]), "left_semi")
+            .dropDuplicates(["doc_id", "_content_hash"]).select(*docs.columns))

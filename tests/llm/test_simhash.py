@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import xxhash
-from samples import messy_rows
+from samples import messy_rows, prose
 
 from casestar.llm import simhash
 from casestar.llm.components import components
@@ -87,6 +87,14 @@ def test_one_of_each_stays(messy):
     assert len(ids) == len(set(ids)) and {1, 7, 8, 9, 11} <= set(ids) and not {2, 3} & set(ids)
 
 
+def test_different_texts_under_one_id_stay(spark):
+    rows = [(1, prose(1, 80)), (1, prose(2, 80)), (None, prose(3, 80)), (None, prose(4, 80)),
+            (None, prose(1, 80)), (5, prose(2, 80)), (1, prose(1, 80)), (6, prose(3, 80))]
+    found = simhash.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, found.collect())) == Counter(
+        [rows[0], rows[1], rows[3], rows[7]])
+
+
 def test_chain_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (101, 102)],
                                   "a long, b long")
