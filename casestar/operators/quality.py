@@ -114,9 +114,12 @@ def step_audit(raw: DataFrame, key: str, date_text: str, date_format: str) -> Da
     """Rows before, removed and after each row-dropping step, from one grouped pass.
 
     Blank and null keys are grouped like any other and told apart afterwards, so the raw
-    table is read once, not once per counter.
+    table is read once, not once per counter. The survivor of a key is its smallest row by all
+    columns, so its date follows from the columns up to the date; the others are not read.
     """
-    survivors = first_with_copies(raw, key, "_copies")
+    rest = [name for name in raw.columns if name != key]
+    leading = rest[:rest.index(date_text) + 1]
+    survivors = first_with_copies(raw.select(key, *leading), key, "_copies")
     has_key = ~is_blank(F.col(key))
     dated = F.try_to_date(F.col(date_text), date_format).isNotNull()
     totals = survivors.agg(

@@ -15,6 +15,7 @@ from casestar.operators.quality import (
     missing_columns,
     table_counts,
 )
+from casestar.session import scale_settings
 from casestar.sources.landing import land_raw, landing_report, read_lines
 from casestar.sources.readers import read_raw_csv
 
@@ -23,6 +24,15 @@ class RejectedFile(RuntimeError):
     """A raw file that failed a required check."""
 
 
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Fit the session's scan pieces and shuffle width to the bytes below ``path``. More shuffle
+    partitions than that stay as they are set. Only the listing is read."""
+    total = file_audit(spark, path).agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, value in scale_settings(total, least).items():
+        spark.conf.set(name, value)
+
+
 def validate_raw(spark: SparkSession, path: str, columns: RawColumns = RawColumns(),
                  key: str = "COLLISION_ID") -> DataFrame:
     """One row per check: name, observed value, verdict, and whether a failure rejects the file.

@@ -27,19 +27,24 @@ LOCAL_SETTINGS = {
 }
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+SHUFFLE_WIDTH = 50_000
 
 
-def scale_settings(shuffle_bytes: int) -> dict[str, str]:
+def scale_settings(shuffle_bytes: int, least: int = 200) -> dict[str, str]:
     """Settings for a known amount of shuffled data.
 
     Partitions start at about 128 MB each, small enough to sort in memory, and the adaptive
-    planner merges the ones that turn out smaller. Scans read in pieces of twice that.
+    planner merges the ones that turn out smaller. A shuffle writes a block per scan task and
+    partition, so from about 6 TB on partitions and scan pieces grow instead of their number,
+    and partitions may spill: 2 GB and 1 GB at 100 TB. ``least`` is the number to start from.
     """
-    partitions = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+    piece = max(SHUFFLE_PARTITION_BYTES, -(-shuffle_bytes // SHUFFLE_WIDTH))
+    partitions = str(max(least, -(-shuffle_bytes // piece)))
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(2 * SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(max(2 * SHUFFLE_PARTITION_BYTES, piece // 2)),
     }
 
 

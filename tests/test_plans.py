@@ -8,8 +8,10 @@ from samples import DEFAULTS
 from casestar.catalog import fixture
 from casestar.catalog.fixture import RULES
 from casestar.config import RAW_TO_PUBLISHED
+from casestar.operators.quality import step_audit
 from casestar.plans import etl
 from casestar.plans import questions as ask
+from casestar.plans.ingest import size_shuffles
 from casestar.session import scale_settings, shared_folder
 from casestar.sources.writers import write_partitioned
 
@@ -118,5 +120,25 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
 
 def test_shuffle_partitions_grow_with_the_data():
-    assert scale_settings(10**9)["spark.sql.shuffle.partitions"] == "200"
-    assert int(scale_settings(100 * 10**12)["spark.sql.shuffle.partitions"]) > 500_000
+    width = "spark.sql.shuffle.partitions"
+    assert scale_settings(10**9)[width] == "200"
+    assert int(scale_settings(10**12)[width]) == 7451
+    assert 40_000 < int(scale_settings(100 * 10**12)[width]) <= 100_000
+
+
+def test_shuffle_width_follows_the_listing(spark, conf):
+    for name, value in scale_settings(0, 8).items():
+        conf(name, value)
+    size_shuffles(spark, f"{SF}/lineitem.parquet")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    conf("spark.sql.shuffle.partitions", "300")
+    size_shuffles(spark, f"{SF}/lineitem.parquet")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
+
+
+def test_step_audit_reads_key_and_date_only(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([("1", "01/02/2020", "x", "y")] * 3,
+                          "id string, day string, hour string, street string").write.parquet(path)
+    text = plan(step_audit(spark.read.parquet(path), "id", "day", "MM/dd/yyyy"))
+    assert "ReadSchema: struct<id:string,day:string>" in text
