@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casestar.config import RAW_TO_PUBLISHED, QuestionRules
+from casestar.operators.dimensions import build_dimension
+from casestar.operators.keys import KeyedTable
 from casestar.plans.etl import StagedStar, publish_star, stage_star
 from casestar.schemas import RAW
 from casestar.session import shared_folder
@@ -144,6 +146,14 @@ def star(spark: SparkSession, sf_dir: str) -> StagedStar:
                  lambda: stage_star(raw, work_path(spark, sf_dir, "warehouse")))
 
 
+def null_safe_location(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    """The location dimension with null kept as a value, staged once per application."""
+    staged = star(spark, sf_dir)
+    return _once(spark, sf_dir, "null_safe_location", lambda: build_dimension(
+        staged.clean, staged.dims["dim_location"],
+        scratch_path(spark, sf_dir, "null_safe_location"), null_safe=True))
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The published warehouse, built once per application by the library's own ETL."""
     staged = star(spark, sf_dir)

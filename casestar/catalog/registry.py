@@ -12,7 +12,6 @@ from casestar.catalog.fixture import RULES
 from casestar.config import COUNT_COLUMNS, RAW_TO_PUBLISHED, CleanRules, RawColumns
 from casestar.operators import clean as C
 from casestar.operators import quality as Q
-from casestar.operators.dimensions import build_dimension
 from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.rollup import FOREIGN_KEYS, register_star_view, star_base
 from casestar.operators.windows import highlight, pick, top_k
@@ -258,9 +257,7 @@ def dim_surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
 def join_null_safe(spark: SparkSession, sf: str) -> DataFrame:
     star = fixture.star(spark, sf)
     location = {"dim_location": star.dims["dim_location"]}
-    keyed = {"dim_location": build_dimension(
-        star.clean, location["dim_location"],
-        fixture.scratch_path(spark, sf, "null_safe_location"), null_safe=True)}
+    keyed = {"dim_location": fixture.null_safe_location(spark, sf)}
     base = fact_base(star.clean, location.values(), null_safe=True)
     return build_fact(base, location, keyed, null_safe=True,
                       columns=["collision_id", "location_key"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,6 @@ from casestar.functions import text_bytes
 # monotonically_increasing_id() holds the partition number above this bit, the row number below
 ROW_BITS = 33
 _SLOT = "_slot"
-_OFFSETS = T.StructType([T.StructField("_part", T.LongType()), T.StructField("_offset", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -35,7 +34,8 @@ def number_ranged(df: DataFrame, order_cols, key: str, stage_path: str) -> Keyed
 
     Range partitions are written once with each row's place in its partition. Partition
     boundaries are sampled and could move if the plan ran again, so the rest only ever reads
-    that written table. What comes back to the driver is one small row per partition.
+    that written table. The offsets are summed over a small table of one row per partition; only
+    the two totals come back to the driver.
     """
     spark = df.sparkSession
     placed = df.sortWithinPartitions(*order_cols).withColumn(_SLOT, F.monotonically_increasing_id())
@@ -44,23 +44,20 @@ def number_ranged(df: DataFrame, order_cols, key: str, stage_path: str) -> Keyed
 
     part = F.shiftright(_SLOT, ROW_BITS)
     texts = [F.col(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)]
-    parts = (staged.groupBy(part.alias("_part"))
-             .agg(F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(texts)).alias("text"))
-             .collect())
-    offsets, rows = _running_offsets(spark, parts)
+    counted = staged.groupBy(part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(texts)).alias("text"))
+    counted.write.mode("overwrite").parquet(f"{stage_path}_parts")
+    parts = spark.read.schema(counted.schema).parquet(f"{stage_path}_parts")
+    none = F.lit(0).cast("long")
+    total = parts.agg(F.coalesce(F.sum("rows"), none).alias("rows"),
+                      F.coalesce(F.sum("text"), none).alias("text")).first()
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("_part", F.coalesce(F.sum("rows").over(before), none).alias("_offset"))
+    # 16 bytes per partition of the range shuffle
     keyed = (staged.withColumn("_part", part)
              .join(F.broadcast(offsets), "_part")
              .withColumn(key, F.col("_offset") + F.col(_SLOT).bitwiseAND((1 << ROW_BITS) - 1) + 1)
              .select(key, *df.columns))
     # every field takes 8 bytes in a row, texts come on top, rounded up to 8
     per_row = 16 + 8 * (len(df.columns) + 1) + 8 * len(texts)
-    payload = rows * per_row + sum(p["text"] for p in parts)
-    return KeyedTable(keyed, rows, payload)
-
-
-def _running_offsets(spark: SparkSession, parts) -> tuple[DataFrame, int]:
-    total, offsets = 0, []
-    for row in sorted(parts, key=lambda r: r["_part"]):
-        offsets.append((row["_part"], total))
-        total += row["rows"]
-    return spark.createDataFrame(offsets, _OFFSETS), total
+    return KeyedTable(keyed, total.rows, total.rows * per_row + total.text)

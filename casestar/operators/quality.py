@@ -41,8 +41,14 @@ def missing_columns(df: DataFrame, names) -> list[str]:
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Rows beyond the first of each key value; null counts as one of the values."""
+    return key_profile(df, key).drop("row_count")
+
+
+def key_profile(df: DataFrame, key: str) -> DataFrame:
+    """``duplicate_keys`` and the number of rows, from one pass."""
     counted = df.groupBy(F.col(f"`{key}`")).agg(F.count(F.lit(1)).alias("copies"))
     return counted.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
         F.count_if(F.col("copies") > 1).alias("keys_with_duplicates"),
     )

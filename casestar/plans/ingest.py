@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from casestar.config import RawColumns
 from casestar.operators.quality import (
-    duplicate_keys,
     encoding_audit,
     file_audit,
+    key_profile,
     missing_columns,
     table_counts,
 )
@@ -44,7 +44,9 @@ def validate_raw(spark: SparkSession, path: str, columns: RawColumns = RawColumn
     absent = missing_columns(raw, columns.required)
     files = file_audit(spark, path).agg(
         F.count_if(~F.col("is_accepted")).alias("refused"), F.sum("size_bytes").alias("size"))
-    shape = table_counts({"raw": raw})
+    shape = key_profile(raw, key) if key in raw.columns else table_counts({"raw": raw})
+    copies = F.col("duplicate_rows")
+    unique = ([("duplicate keys", copies, copies == 0, False)] if key in raw.columns else [])
     lines = encoding_audit(read_lines(spark, path), ["value"])
     broken = F.col("text_values") - F.col("valid_utf8_values")
     reports = [
@@ -53,14 +55,10 @@ def validate_raw(spark: SparkSession, path: str, columns: RawColumns = RawColumn
                 ("bytes", F.col("size"), F.lit(True), False)),
         _checks(shape,
                 ("rows", F.col("row_count"), F.col("row_count") > 0, False),
-                ("columns", F.col("column_count"), F.lit(True), False),
-                ("required columns missing", F.lit(len(absent)), F.lit(not absent), True)),
+                ("columns", F.lit(len(raw.columns)), F.lit(True), False),
+                ("required columns missing", F.lit(len(absent)), F.lit(not absent), True), *unique),
         _checks(lines, ("lines that are not UTF-8", broken, broken == 0, False)),
     ]
-    if key in raw.columns:
-        copies = F.col("duplicate_rows")
-        reports.append(_checks(duplicate_keys(raw, key),
-                               ("duplicate keys", copies, copies == 0, False)))
     return reduce(DataFrame.unionByName, reports)
 
 
