@@ -8,20 +8,24 @@ are what is grouped, some ten to a thousand times fewer than windows:
    of a phrase at once.
 2. Where phrases with one gram differ, only a part of their windows can be equal. One example of
    each such phrase is fetched, and its windows are compared one by one, at equal distances from
-   the anchor.
+   the anchor. Up to ``CROWD`` phrases of a gram are compared in one group; the windows of a
+   larger crowd are grouped by their own hashes instead, all over the cluster.
 3. Each document finds its phrases again, and covers what the first two steps settled.
 
 Within a batch of documents equal phrases are counted before they are shuffled, so a passage that
-a third of all documents share costs its group one row per batch.
+a third of all documents share costs its group one row per batch. Equal windows of a crowd are
+merged in the same way. What passes through one task is streamed, not held.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,8 @@ _BASE = 0xD6E8FEB86659FD93 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # Units that are looked at together; a longer text is cut into pieces that overlap by a window.
 PIECE = 1 << 20
+# Different phrases with one gram that are compared in one group.
+CROWD = 1000
 
 
 def _powers(base: int, size: int) -> np.ndarray:
@@ -152,28 +158,40 @@ def _int64(column: pa.Array) -> np.ndarray:
     return np.asarray(column.cast(pa.int64()))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], most: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``most`` rows that end where the first column changes its value."""
-    rest = None
+def _grouped(batches: Iterator[pa.RecordBatch], most: int = 2000,
+             keys: int = 1) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` rows that end where one of the first ``keys`` columns changes."""
+    parts: list[pa.RecordBatch] = []
     for batch in batches:
-        if rest is not None:
-            batch = pa.concat_batches([rest, batch])
-        keys = np.asarray(batch.column(0))
-        if not len(keys):
+        if not len(batch):
             continue
-        at, done = 0, int(np.searchsorted(keys, keys[-1]))
-        while at < done:
-            to = int(np.searchsorted(keys, keys[min(at + most, done) - 1], side="right"))
-            yield batch.slice(at, to - at)
-            at = to
-        rest = batch.slice(done)
-    if rest is not None and len(rest):
-        yield rest
+        named = [np.asarray(batch.column(i)) for i in range(keys)]
+        change = np.zeros(len(batch), bool)
+        for at, values in enumerate(named):
+            change[1:] |= values[1:] != values[:-1]
+            change[0] |= bool(parts) and parts[-1].column(at)[-1].as_py() != values[0]
+        ends = np.flatnonzero(change)
+        if not len(ends):
+            parts.append(batch)
+            continue
+        done = int(ends[-1])
+        before = sum(map(len, parts))
+        whole = pa.concat_batches([*parts, batch.slice(0, done)])
+        ends = ends[ends + before > 0] + before
+        at = 0
+        while at < len(whole):
+            place = np.searchsorted(ends, min(at + most, len(whole)))
+            yield whole.slice(at, int(ends[place]) - at)
+            at = int(ends[place])
+        parts = [batch.slice(done)]
+    if parts:
+        yield pa.concat_batches(parts)
 
 
 def settled(docs: DataFrame, units: Units) -> DataFrame:
     """Step 1. ``doc, gram, phrase, kind``: kind 0 for a phrase of a document that is settled as
-    repeated, 1 for an example of a phrase that shares its gram with different ones."""
+    repeated, 1 for an example of a phrase that shares its gram with different ones, 2 if these
+    are more than ``CROWD``."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(batches, 1):
@@ -198,29 +216,44 @@ def settled(docs: DataFrame, units: Units) -> DataFrame:
                 names=["gram", "phrase", "doc", "times"])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _grouped(batches, 100_000):
-            gram, phrase, doc, times = (np.asarray(batch.column(i)) for i in range(4))
-            local = times == 0
-            known = doc[local], gram[local], phrase[local]
-            gram, phrase, doc, times = (x[~local] for x in (gram, phrase, doc, times))
-            change = (gram[1:] != gram[:-1]) | (phrase[1:] != phrase[:-1])
-            at = np.concatenate(([0], np.flatnonzero(change) + 1)) if len(gram) else np.empty(0, int)
-            size = np.diff(np.append(at, len(gram)))
-            if units.earlier_only:
-                repeated = doc > np.repeat(doc[at], size)
-            else:
-                repeated = np.repeat(np.add.reduceat(times, at) if len(at) else times, size) > 1
-            kinds = gram[at]
-            alone = np.ones(len(at), bool)
-            if len(at) > 1:
-                equal = kinds[1:] == kinds[:-1]
-                alone[1:] &= ~equal
-                alone[:-1] &= ~equal
-            asked = at[~alone]
-            out = [np.concatenate((k, x[repeated], x[asked]))
-                   for k, x in zip(known, (doc, gram, phrase))]
+        # examples of a gram that may go on in the next batch, or the gram if it is a crowd
+        waiting = tuple(np.empty(0, np.int64) for _ in range(3))
+        crowd = None
+        for batch in chain(_grouped(batches, 100_000, 2), [None]):
+            kept: list[tuple[np.ndarray, ...]] = []
+            if batch is not None:
+                gram, phrase, doc, times = (np.asarray(batch.column(i)) for i in range(4))
+                local = times == 0
+                kept.append((doc[local], gram[local], phrase[local]))
+                gram, phrase, doc, times = (x[~local] for x in (gram, phrase, doc, times))
+                change = (gram[1:] != gram[:-1]) | (phrase[1:] != phrase[:-1])
+                at = (np.concatenate(([0], np.flatnonzero(change) + 1)) if len(gram)
+                      else np.empty(0, np.int64))
+                size = np.diff(np.append(at, len(gram)))
+                if units.earlier_only:
+                    repeated = doc > np.repeat(doc[at], size)
+                else:
+                    repeated = np.repeat(np.add.reduceat(times, at) if len(at) else times, size) > 1
+                kept.append((doc[repeated], gram[repeated], phrase[repeated]))
+                waiting = tuple(np.concatenate((old, new[at]))
+                                for old, new in zip(waiting, (doc, gram, phrase)))
+            at, to = runs(waiting[1])
+            size = to - at
+            kind = np.where(size > CROWD, 2, np.where(size > 1, 1, 0)).astype(np.int32)
+            hold = len(waiting[1])
+            if hold:
+                if waiting[1][0] == crowd:
+                    kind[0] = 2
+                crowd = waiting[1][-1] if kind[-1] == 2 else None
+                if batch is not None and crowd is None:
+                    hold = int(at[-1])
+            kinds = np.repeat(kind, size)[:hold]
+            asked = np.flatnonzero(kinds)
+            kept.append(tuple(x[asked] for x in waiting))
+            waiting = tuple(x[hold:] for x in waiting)
+            out = [np.concatenate(x) for x in zip(*kept)]
             kind = np.zeros(len(out[0]), np.int32)
-            kind[len(kind) - len(asked):] = 1
+            kind[len(kind) - len(asked):] = kinds[asked]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*out, kind)],
                                              names=["doc", "gram", "phrase", "kind"])
 
@@ -233,72 +266,129 @@ def settled(docs: DataFrame, units: Units) -> DataFrame:
 def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
     """Step 2. ``doc, phrase, low, high``: windows of a phrase, by their place in it, that occur
     in a different phrase too."""
-    asked = (found.where("kind = 1").groupBy("doc")
-             .agg(F.collect_list("phrase").alias("asked")))
+    asked = (found.where("kind > 0").groupBy("doc")
+             .agg(F.collect_list(F.when(F.col("kind") == 1, F.col("phrase"))).alias("asked"),
+                  F.collect_list(F.when(F.col("kind") == 2, F.col("phrase"))).alias("crowds")))
     width = units.width
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(batches, 1):
             codes, bounds = units.codes(texts)
             text, first, last, gram, phrase, anchor = phrases(codes, bounds, units)
-            wanted = [set(x) for x in batch.column(2).to_pylist()]
             names = phrase.view(np.int64)
             doc = _int64(batch.column(0))
-            rows = []
-            for i, (t, name) in enumerate(zip(text.tolist(), names.tolist())):
-                if name in wanted[t]:
-                    wanted[t].discard(name)
-                    rows.append(i)
-            pick = np.array(rows, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram[pick].view(np.int64)), pa.array(names[pick]),
-                 pa.array(doc[text[pick]]), pa.array((anchor - first)[pick]),
-                 pa.array([codes[a:b + width].tobytes() if units.packed == 8
-                           else bytes_of(texts, bounds, t, a, b + width)
-                           for t, a, b in zip(text[pick], first[pick], last[pick])], pa.binary())],
-                names=["gram", "phrase", "doc", "place", "units"])
+            pick = picked(text, names, batch.column(2))
+            yield from_columns(
+                gram[pick].view(np.int64), names[pick], doc[text[pick]], (anchor - first)[pick],
+                np.ones(len(pick), np.int64),
+                [codes[a:b + width].tobytes() if units.packed == 8
+                 else bytes_of(texts, bounds, t, a, b + width)
+                 for t, a, b in zip(text[pick], first[pick], last[pick])])
+            pick = picked(text, names, batch.column(3))
+            if len(pick):
+                yield from windows_of(codes, first[pick], last[pick], anchor[pick], gram[pick],
+                                      names[pick], doc[text[pick]])
+
+    def picked(text: np.ndarray, names: np.ndarray, wanted: pa.Array) -> np.ndarray:
+        """The first of each wanted phrase of each text."""
+        left = [set(x) for x in wanted.to_pylist()]
+        rows = []
+        for i, (t, name) in enumerate(zip(text.tolist(), names.tolist())):
+            if name in left[t]:
+                left[t].discard(name)
+                rows.append(i)
+        return np.array(rows, np.int64)
+
+    def from_columns(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [*map(pa.array, columns[:5]), pa.array(columns[5], pa.binary())],
+            names=["gram", "phrase", "doc", "place", "times", "units"])
+
+    def windows_of(codes, first, last, anchor, gram, names, doc) -> Iterator[pa.RecordBatch]:
+        """A row for each window of the phrases of crowds, keyed by its hash, without units. Of
+        equal ones those of the first document go to their group, with their number; the others
+        are settled, which zero tells, and travel by keys of their own."""
+        sums = prefix(codes)
+        sizes = last - first + 1
+        for part in np.array_split(np.arange(len(sizes)), int(sizes.sum()) // (1 << 19) + 1):
+            size = sizes[part]
+            owner = np.repeat(part, size)
+            inside = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            begin = first[owner] + inside
+            key = mixed(stretch_hash(sums, begin, begin + width) ^ gram[owner]
+                        ^ mixed((anchor[owner] - begin).astype(np.uint64) + np.uint64(1)))
+            order = np.lexsort((doc[owner], key))
+            key, owner, inside = key[order], owner[order], inside[order]
+            at, to = runs(key)
+            same = doc[owner] == np.repeat(doc[owner[at]], to - at)
+            key = np.where(same, key, mixed(key ^ doc[owner].view(np.uint64)))
+            yield from_columns(key.view(np.int64), names[owner], doc[owner], inside,
+                               np.where(same, np.repeat(to - at, to - at), 0),
+                               pa.nulls(len(key), pa.binary()))
 
     def bytes_of(texts: list[bytes], bounds: np.ndarray, t: int, a: int, b: int) -> bytes:
         return texts[t][a - bounds[t]:b - bounds[t]]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _grouped(batches):
-            stored = list(byte_values(batch.column(4)))
-            if units.packed == 8:
-                codes = np.frombuffer(b"".join(stored), np.uint64)
-                sizes = np.array([len(s) // 8 for s in stored])
-            else:
-                codes, ends = units.codes(stored)
-                sizes = np.diff(ends)
-            gram, phrase, doc, place = (np.asarray(batch.column(i)) for i in range(4))
-            start = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            windows = sizes - width + 1
-            owner = np.repeat(np.arange(len(sizes)), windows)
-            inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-            begin = start[owner] + inside
-            sums = prefix(codes)
-            # equal windows lie at equal distances from the anchor, under one gram
-            back = (place[owner] - inside).astype(np.uint64)
-            key = mixed(stretch_hash(sums, begin, begin + width) ^ mixed(back + np.uint64(1))
-                        ^ gram[owner].view(np.uint64))
-            order = np.lexsort((doc[owner], key))
-            key, owner, inside = key[order], owner[order], inside[order]
-            at, to = runs(key)
-            if units.earlier_only:
-                hit = doc[owner] > np.repeat(doc[owner[at]], to - at)
-            else:
-                hit = np.repeat(to - at, to - at) > 1
-            owner, inside = owner[hit], inside[hit]
-            order = np.lexsort((inside, owner))
-            owner, inside = owner[order], inside[order]
-            at, to = runs(owner * (1 << 40) + inside - np.arange(len(inside)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[owner[at]]), pa.array(phrase[owner[at]]), pa.array(inside[at]),
-                 pa.array(inside[to - 1])], names=["doc", "phrase", "low", "high"])
+            alone = batch.column(5).is_null()
+            if alone.true_count:
+                yield crowded(batch.filter(alone))
+                batch = batch.filter(pc.invert(alone))
+            if len(batch):
+                yield together(batch)
+
+    def crowded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        key, phrase, doc, place, times = (np.asarray(batch.column(i)) for i in range(5))
+        order = np.lexsort((doc, key))
+        key, phrase, doc, place, times = (x[order] for x in (key, phrase, doc, place, times))
+        at, to = runs(key)
+        if units.earlier_only:
+            hit = doc > np.repeat(doc[at], to - at)
+        else:
+            hit = np.repeat(np.add.reduceat(times, at), to - at) > 1
+        hit |= times == 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x[hit]) for x in (doc, phrase, place, place)],
+            names=["doc", "phrase", "low", "high"])
+
+    def together(batch: pa.RecordBatch) -> pa.RecordBatch:
+        stored = list(byte_values(batch.column(5)))
+        if units.packed == 8:
+            codes = np.frombuffer(b"".join(stored), np.uint64)
+            sizes = np.array([len(s) // 8 for s in stored])
+        else:
+            codes, ends = units.codes(stored)
+            sizes = np.diff(ends)
+        gram, phrase, doc, place = (np.asarray(batch.column(i)) for i in range(4))
+        start = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        windows = sizes - width + 1
+        owner = np.repeat(np.arange(len(sizes)), windows)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin = start[owner] + inside
+        sums = prefix(codes)
+        # equal windows lie at equal distances from the anchor, under one gram
+        back = (place[owner] - inside).astype(np.uint64)
+        key = mixed(stretch_hash(sums, begin, begin + width) ^ mixed(back + np.uint64(1))
+                    ^ gram[owner].view(np.uint64))
+        order = np.lexsort((doc[owner], key))
+        key, owner, inside = key[order], owner[order], inside[order]
+        at, to = runs(key)
+        if units.earlier_only:
+            hit = doc[owner] > np.repeat(doc[owner[at]], to - at)
+        else:
+            hit = np.repeat(to - at, to - at) > 1
+        owner, inside = owner[hit], inside[hit]
+        order = np.lexsort((inside, owner))
+        owner, inside = owner[order], inside[order]
+        at, to = runs(owner * (1 << 40) + inside - np.arange(len(inside)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc[owner[at]]), pa.array(phrase[owner[at]]), pa.array(inside[at]),
+             pa.array(inside[to - 1])], names=["doc", "phrase", "low", "high"])
 
     return staged(
-        docs.join(asked.hint("merge"), "doc").select("doc", "text", "asked")
-        .mapInArrow(fetch, "gram long, phrase long, doc long, place long, units binary")
+        docs.join(asked.hint("merge"), "doc").select("doc", "text", "asked", "crowds")
+        .mapInArrow(fetch, "gram long, phrase long, doc long, place long, times long, units binary")
         .repartition("gram").sortWithinPartitions("gram")
         .mapInArrow(compare, "doc long, phrase long, low long, high long"), "windows")
 

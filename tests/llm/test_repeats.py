@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from samples import frame, messy_rows, prose
 
@@ -46,21 +47,26 @@ def by_bytes(rows, width):
     return Counter(out)
 
 
-@pytest.mark.parametrize("piece", [1 << 20, 500])
-def test_words_equal_plain_version(messy, monkeypatch, piece):
+@pytest.mark.parametrize("piece, crowd", [(1 << 20, 1000), (500, 1000), (1 << 20, 1)])
+def test_words_equal_plain_version(messy, monkeypatch, piece, crowd):
     monkeypatch.setattr(repeats, "PIECE", piece)
+    monkeypatch.setattr(repeats, "CROWD", crowd)
     assert Counter(map(tuple, rlz.without_copied(messy).collect())) == by_words(messy_rows(), 13)
 
 
-@pytest.mark.parametrize("piece", [1 << 20, 700])
-def test_bytes_equal_plain_version(messy, monkeypatch, piece):
+@pytest.mark.parametrize("piece, crowd", [(1 << 20, 1000), (700, 1000), (1 << 20, 1)])
+def test_bytes_equal_plain_version(messy, monkeypatch, piece, crowd):
     monkeypatch.setattr(repeats, "PIECE", piece)
+    monkeypatch.setattr(repeats, "CROWD", crowd)
     rows = messy_rows()
     assert Counter(map(tuple, suffixes.without_repeats(messy).collect())) == by_bytes(rows, 400)
 
 
-def test_partial_overlaps_at_every_length(spark):
-    """Passages shared to different lengths, so that matches end inside phrases."""
+@pytest.mark.parametrize("crowd", [1000, 2, 0])
+def test_partial_overlaps_at_every_length(spark, monkeypatch, crowd):
+    """Passages shared to different lengths, so that matches end inside phrases, whose grams are
+    in crowds or not."""
+    monkeypatch.setattr(repeats, "CROWD", crowd)
     passage = prose(50, 60).split(" ")
     rows = [(i, " ".join([f"l{i}"] * 3 + passage[i:i + 10 + i] + [f"r{i}"] * 3), "en", "a", 1)
             for i in range(40)]
@@ -69,6 +75,22 @@ def test_partial_overlaps_at_every_length(spark):
     assert Counter(map(tuple, suffixes.without_repeats(docs, 60).collect())) == by_bytes(rows, 60)
 
 
+def test_groups_are_cut_where_keys_change():
+    """Whole groups come out whatever the batches they arrive in."""
+    keys = [0] * 7 + [1] + [2] * 4 + [3, 4] + [5] * 9
+    second = [x // 3 for x in range(len(keys))]
+    for width in (1, 2, 5, 30):
+        for columns in (1, 2):
+            batches = [pa.RecordBatch.from_arrays(
+                [pa.array(c[at:at + width], pa.int64()) for c in (keys, second)], names=["a", "b"])
+                for at in range(0, len(keys), width)]
+            out = [list(zip(*(c.to_pylist() for c in b.columns)))
+                   for b in repeats._grouped(iter(batches), 3, columns)]
+            assert [row for part in out for row in part] == list(zip(keys, second))
+            marks = [{row[:columns] for row in part} for part in out]
+            assert sum(map(len, marks)) == len(set().union(*marks))
+
+
 def test_empty_tables(nothing):
     assert rlz.without_copied(nothing).count() == 0
     assert suffixes.without_repeats(nothing).count() == 0
