@@ -293,6 +293,16 @@ def _step(label: str, before: str, after: str) -> str:
             f"FROM (SELECT (SELECT count(*) FROM {before}) AS b, (SELECT count(*) FROM {after}) AS a)")
 
 
+def _counts(section: str, source: str, **items: str) -> list[str]:
+    return [f"SELECT '{section}' AS section, '{item}' AS item, {count} AS observed FROM {source}"
+            for item, count in items.items()]
+
+
+def _step_counts(label: str, before: str, after: str) -> list[str]:
+    b, a = (f"(SELECT count(*) FROM {name})" for name in (before, after))
+    return _counts(label, "(SELECT 1)", rows_before=b, rows_removed=f"{b} - {a}", rows_after=a)
+
+
 def _key_summary(dim: str, key: str, step: str) -> str:
     return (f"SELECT '{dim}' AS table_name, count(*) AS row_count, min({key}) AS first_key, "
             f"max({key}) AS last_key, count(DISTINCT {key}) AS distinct_keys FROM {step}")
@@ -400,6 +410,26 @@ def oracle_sql() -> dict[str, str]:
             "AS latitude_out_of_range_rows, "
             "count(*) FILTER (longitude <> 0 AND (longitude < -74.3e0 OR longitude > -73.7e0)) "
             "AS longitude_out_of_range_rows FROM typed", "typed"),
+        "build_audit": _with(" UNION ALL ".join([
+            *_step_counts("1 missing key", "raw", "keyed"),
+            *_step_counts("2 duplicate key", "keyed", "uniq"),
+            *_step_counts("3 invalid date", "uniq", "dated"),
+            *_counts(
+                "coordinates", "typed",
+                both_zero_rows="count(*) FILTER (latitude = 0 AND longitude = 0)",
+                latitude_out_of_range_rows="count(*) FILTER (latitude <> 0 "
+                "AND (latitude < 40.4e0 OR latitude > 40.9e0))",
+                longitude_out_of_range_rows="count(*) FILTER (longitude <> 0 "
+                "AND (longitude < -74.3e0 OR longitude > -73.7e0))"),
+            *_counts("flags", "clean",
+                     property_damage_only_rows="count(*) FILTER (property_damage_only)",
+                     injury_count_flagged_rows="count(*) FILTER (injury_count_flagged)"),
+            *_counts("fact_crash", "fact", row_count="count(*)"),
+            *_counts("dim_date", "d_date", row_count="count(*)"),
+            *_counts("dim_location", "d_location", row_count="count(*)"),
+            *_counts("dim_vehicle", "d_vehicle", row_count="count(*)"),
+            *_counts("dim_factor", "d_factor", row_count="count(*)"),
+        ]), "fact", "typed", "dated"),
         "dq_flag_counts": _with(
             "SELECT count(*) FILTER (property_damage_only) AS property_damage_only_rows, "
             "count(*) FILTER (injury_count_flagged) AS injury_count_flagged_rows FROM clean", "clean"),

@@ -15,7 +15,7 @@ from casestar.operators import quality as Q
 from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.rollup import FOREIGN_KEYS, register_star_view, star_base
 from casestar.operators.windows import highlight, pick, top_k
-from casestar.plans import etl
+from casestar.plans import audit, etl
 from casestar.plans import questions as ask
 from casestar.plans import report as show
 from casestar.sources import landing, readers, writers
@@ -193,6 +193,10 @@ def dq_coordinate_audit(spark: SparkSession, sf: str) -> DataFrame:
                               CLEANING.longitude_range)
 
 
+def build_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.build_audit(fixture.raw_zone(spark, sf), fixture.warehouse(spark, sf))
+
+
 def dq_flag_counts(spark: SparkSession, sf: str) -> DataFrame:
     return Q.count_flags(_clean(spark, sf), {
         "property_damage_only_rows": F.col("property_damage_only"),
@@ -300,6 +304,7 @@ def queries() -> dict[str, Query]:
         "etl_step_audit": etl_step_audit,
         "dq_coordinate_audit": dq_coordinate_audit,
         "dq_flag_counts": dq_flag_counts,
+        "build_audit": build_audit,
         "fact_integrity": _integrity,
         "fact_integrity_gate": fact_integrity_gate,
         "partition_summary": partition_summary,
