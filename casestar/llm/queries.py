@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casestar.llm import (cotraining, decontamination, html, mixing, quality, rlz, sharding,
-                          simhash, suffixes, warc)
+                          simhash, suffixes, tokencount, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,5 +59,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  _table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.token_counts(_table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from samples import DOCS, clashing, frame, messy_rows  # noqa: E402
+from corpus_samples import DOCS, clashing, frame, messy_rows  # noqa: E402
 
 
 @pytest.fixture(scope="session")

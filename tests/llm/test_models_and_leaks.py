@@ -5,8 +5,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from corpus_samples import frame, messy_rows, prose
 from oracle_check import connect, differences
-from samples import frame, messy_rows, prose
 
 import __spark_entry__ as driver
 import corpus_pipeline

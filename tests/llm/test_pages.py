@@ -8,7 +8,7 @@ import random
 
 import numpy as np
 import pytest
-from samples import CLASHING, frame
+from corpus_samples import CLASHING, frame
 from pyspark.sql import functions as F
 
 from casestar.llm import html, warc

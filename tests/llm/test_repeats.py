@@ -7,7 +7,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
-from samples import frame, messy_rows, prose
+from corpus_samples import frame, messy_rows, prose
 
 from casestar.llm import repeats, rlz, suffixes
 

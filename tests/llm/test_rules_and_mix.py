@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from samples import frame, messy_rows, prose
+from corpus_samples import frame, messy_rows, prose
 
 from casestar.llm import mixing, quality, sharding
 from casestar.llm.common import permuted, running_start

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import xxhash
-from samples import messy_rows, prose
+from corpus_samples import messy_rows, prose
 
 from casestar.llm import simhash
 from casestar.llm.components import components
