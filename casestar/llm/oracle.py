@@ -124,7 +124,59 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS
 FROM kept
 """
 
+# The polynomial and the mask of CRC-32.
+_TRIE = """
+WITH ids AS (
+ SELECT DISTINCT conv_id,
+  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+    string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+   lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 9 AS h
+ FROM conversations WHERE conv_id IS NOT NULL),
+named AS (
+ SELECT conv_id, turn, strlen(coalesce(text, '')) AS size,
+  sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+ FROM conversations),
+own AS (
+ SELECT conv_id, name, size,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS p FROM named),
+taken AS (
+ SELECT ids.conv_id, 0 AS part, p, name, size
+ FROM ids JOIN own ON own.conv_id = ids.conv_id - ids.conv_id % 5 AND p <= h
+ UNION ALL
+ SELECT conv_id, 1, p, name, size FROM ids JOIN own USING (conv_id) WHERE p > h),
+members AS (
+ SELECT conv_id, size, row_number() OVER w AS depth, string_agg(name, '') OVER w AS path
+ FROM taken WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+ UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+nodes AS (
+ SELECT path, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs,
+  any_value(size) AS size FROM members GROUP BY path),
+parents AS (
+ SELECT node.path, parent.path AS parent_path, parent.conv_id AS parent_conv_id
+ FROM nodes AS node JOIN members ON members.conv_id = node.conv_id
+  AND members.depth = node.depth - 1
+ JOIN nodes AS parent ON parent.path = members.path),
+children AS (SELECT parent_path AS path, count(*) AS n_children FROM parents GROUP BY parent_path),
+sums AS (
+ SELECT members.path, sum(CASE WHEN children.path IS NULL THEN 1 ELSE 0 END) AS n_leaves,
+  sum((node.n_convs - 1) * node.size) AS saved_tokens
+ FROM nodes AS node LEFT JOIN children USING (path)
+ JOIN members ON members.conv_id = node.conv_id AND members.depth <= node.depth
+ GROUP BY members.path),
+last AS (
+ SELECT arg_max(path, depth) AS path, conv_id FROM members GROUP BY conv_id),
+ends AS (
+ SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS listed
+ FROM last GROUP BY path)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, parent_conv_id, n_convs,
+ coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+ CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(listed, '')) AS ends_sha256
+FROM nodes AS node LEFT JOIN parents USING (path) LEFT JOIN children USING (path)
+LEFT JOIN sums USING (path) LEFT JOIN ends USING (path)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": _QUALITY, "op5_arc_to_warc": _ARCHIVES,
-            "op9_rlz_dedup": _COPIED}
+            "op9_rlz_dedup": _COPIED, "op12_conversation_trie": _TRIE}

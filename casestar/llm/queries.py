@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casestar.llm import (cotraining, decontamination, html, mixing, quality, rlz, sharding,
-                          simhash, suffixes, tokencount, warc)
+                          simhash, suffixes, tokencount, turntrie, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,5 +66,9 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.prefix_trie(turntrie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
