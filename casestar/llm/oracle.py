@@ -1,8 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 The others are tested against brute force: fingerprints and edit distances (op7, op10, pipeline),
-trained scores (op2), differencing (op8), page blocks (op4), and strings of bytes, of which the
-tables have too many for SQL (op3).
+trained scores (op2), differencing (op8), page blocks (op4), strings of bytes, of which the
+tables have too many for SQL (op3), and a vocabulary's merges (op11).
 """
 
 from __future__ import annotations
@@ -176,7 +176,49 @@ FROM nodes AS node LEFT JOIN parents USING (path) LEFT JOIN children USING (path
 LEFT JOIN sums USING (path) LEFT JOIN ends USING (path)
 """
 
+# The characters that end a piece and those that separate words.
+_PHRASES = r"""
+WITH pieces AS (
+ SELECT row_number() OVER () AS piece, lang, piece AS text FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+cut AS (SELECT lang, regexp_extract_all(text, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+counts AS (
+ SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+ FROM placed, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 10),
+triples AS (SELECT lang, w, f FROM frequent WHERE k = 3),
+inside AS (
+ SELECT lang, phrase, max(f) AS most FROM (
+  SELECT lang, f, w[1] || ' ' || w[2] AS phrase FROM triples
+  UNION ALL SELECT lang, f, w[2] || ' ' || w[3] FROM triples) GROUP BY ALL),
+candidates AS (
+ SELECT frequent.* FROM frequent LEFT JOIN inside USING (lang, phrase)
+ WHERE k = 3 OR (k = 2 AND NOT coalesce(100 * most >= 50 * f, false))),
+cuts AS (
+ SELECT lang, k, phrase, f AS a, c, array_to_string(w[1:c], ' ') AS head,
+  array_to_string(w[c + 1:], ' ') AS tail
+ FROM candidates, (SELECT unnest([1, 2]) AS c) WHERE c < k),
+scored AS (
+ SELECT cuts.*, x.f AS l, y.f AS r,
+  1000000::HUGEINT * a::HUGEINT * a::HUGEINT // (x.f::HUGEINT * y.f::HUGEINT) AS score
+ FROM cuts JOIN frequent AS x ON x.lang = cuts.lang AND x.phrase = head
+ JOIN frequent AS y ON y.lang = cuts.lang AND y.phrase = tail),
+lowest AS (
+ SELECT * FROM scored
+ QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (
+ SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+ FROM lowest)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": _QUALITY, "op5_arc_to_warc": _ARCHIVES,
-            "op9_rlz_dedup": _COPIED, "op12_conversation_trie": _TRIE}
+            "op9_rlz_dedup": _COPIED, "op12_conversation_trie": _TRIE,
+            "op13_collocations": _PHRASES}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casestar.llm import (cotraining, decontamination, html, mixing, quality, rlz, sharding,
-                          simhash, suffixes, tokencount, turntrie, warc)
+from casestar.llm import (collocations, cotraining, decontamination, html, mixing, quality, rlz,
+                          sharding, simhash, suffixes, tokencount, turntrie, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,5 +70,9 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turntrie.prefix_trie(turntrie.rebuilt(_table(spark, sf_dir, "conversations")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
