@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -22,15 +22,23 @@ from pyspark.sql import functions as F
 
 from casestar.llm.common import ids_of, staged
 
-# Fixed value: the published pattern that byte-level BPE vocabularies of this family split by.
-SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+# Fixed value: the published pattern that byte-level BPE vocabularies of this family split by,
+# letters first, since only the contractions can start with an apostrophe and win.
+SPLIT = (r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
          r"|\s+(?!\S)|\s+")
 
+# Fixed rule: byte-level vocabularies write a byte as the Latin-1 character if that is printable,
+# the others in order as the characters from 256 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_WRITTEN = {byte: 256 + at for at, byte in enumerate(sorted({*range(256)} - _PLAIN))}
+
 # The broadcast table has at most so many pre-tokens, of so many bytes.
 HEAD_ROWS, HEAD_BYTES = 1 << 18, 16 << 20
 # A task of the first pass hands its counts on when it has so many different pre-tokens.
 VOCABULARY = 300_000
 BATCH_ROWS = 20_000
+# Texts are cut in groups of about so many characters.
+GROUP_CHARS = 4 << 20
 
 
 class Splitter:
@@ -61,6 +69,11 @@ class Splitter:
                           self.library.pre_tokenizer.pre_tokenize_str(part)]
         return found, len(parts) - 1
 
+    def pieces(self, pre: str) -> int:
+        """The number of pieces of a pre-token."""
+        written = pre.encode().decode("latin-1").translate(_WRITTEN)
+        return len(self.library.model.tokenize(written))
+
     def _classes_agree(self, part: str) -> bool:
         """Whether the pattern and the library agree on letter, number, space or other for every
         character. They follow different versions of Unicode; where they differ the library cuts,
@@ -121,26 +134,35 @@ def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
                     (F.col("n_tokens") > limit).alias("over_limit")))
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
+    """The texts of a batch in groups of about ``GROUP_CHARS``, each with its first row."""
+    first, texts, size = 0, [], 0
+    for row, value in enumerate(ids_of(batch, "text"), start=1):
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= GROUP_CHARS or row == batch.num_rows:
+            yield first, texts
+            first, texts, size = row, [], 0
+
+
 def _vocabulary(rows: DataFrame, shared) -> DataFrame:
     """Every distinct pre-token and how often it occurs in the corpus."""
-    schema = pa.schema([("pre", pa.string()), ("freq", pa.int64())])
-
-    def emit(seen: Counter) -> Iterator[pa.RecordBatch]:
-        names, counts = list(seen), list(seen.values())
-        for at in range(0, len(names), BATCH_ROWS):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[at:at + BATCH_ROWS], pa.string()),
-                 pa.array(counts[at:at + BATCH_ROWS], pa.int64())], schema=schema)
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by("pre").aggregate(
+            [("freq", "sum")]).rename_columns(["pre", "freq"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, seen = Splitter(shared.value), Counter()
+        splitter = Splitter(shared.value)
+        seen = pa.table({"pre": pa.array([], pa.string()), "freq": pa.array([], pa.int64())})
         for batch in batches:
-            for value in ids_of(batch, "text"):
-                seen.update(splitter.cut(value.as_py() or "")[0])
+            for _, texts in _groups(batch):
+                found = [pre for text in texts for pre in splitter.cut(text)[0]]
+                counts = pa.array(found, pa.string()).value_counts()
+                seen = merged([seen, pa.table({"pre": counts.field(0), "freq": counts.field(1)})])
                 if len(seen) > VOCABULARY:
-                    yield from emit(seen)
-                    seen.clear()
-        yield from emit(seen)
+                    yield from seen.to_batches(BATCH_ROWS)
+                    seen = seen.slice(0, 0)
+        yield from seen.to_batches(BATCH_ROWS)
 
     return (rows.select("text").mapInArrow(count, "pre string, freq long")
             .groupBy("pre").agg(F.sum("freq").alias("freq")))
@@ -149,10 +171,9 @@ def _vocabulary(rows: DataFrame, shared) -> DataFrame:
 def _pieces(vocabulary: DataFrame, shared) -> DataFrame:
     """The number of pieces of each distinct pre-token."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = Splitter(shared.value).library
+        splitter = Splitter(shared.value)
         for batch in batches:
-            found = [len(library.encode(value.as_py(), add_special_tokens=False).ids)
-                     for value in ids_of(batch, "pre")]
+            found = [splitter.pieces(pre) for pre in ids_of(batch, "pre").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [ids_of(batch, "pre"), ids_of(batch, "freq"), pa.array(found, pa.int64())],
                 names=["pre", "freq", "pieces"])
@@ -180,33 +201,41 @@ def _head(pieces: DataFrame, head_rows: int, head_bytes: int) -> dict[str, int]:
 def _frequencies(rows: DataFrame, shared, head) -> DataFrame:
     """Per document: its bytes, the tokens of its frequent pre-tokens, and its rare pre-tokens
     with how often it has each. ``row_key`` tells rows apart, not ids."""
-    pair = pa.struct([("pre", pa.string()), ("freq", pa.int64())])
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, known = Splitter(shared.value), head.value
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
-            sizes, common, rare = [], [], []
-            for value in ids_of(batch, "text"):
-                text = value.as_py() or ""
-                found, tokens = splitter.cut(text)
-                others = []
-                for pre, freq in Counter(found).items():
-                    n = known.get(pre)
-                    if n is None:
-                        others.append({"pre": pre, "freq": freq})
-                    else:
-                        tokens += n * freq
-                sizes.append(len(text.encode()))
-                common.append(tokens)
-                rare.append(others)
-            keys = range(key, key + batch.num_rows)
-            key += batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), ids_of(batch, "doc_id"), pa.array(sizes, pa.int64()),
-                 pa.array(common, pa.int64()), pa.array(rare, pa.list_(pair))],
-                names=["row_key", "doc_id", "n_bytes", "common", "rare"])
+            for first, texts in _groups(batch):
+                found, lengths, special = [], [], []
+                for text in texts:
+                    pres, n = splitter.cut(text)
+                    found += pres
+                    lengths.append(len(pres))
+                    special.append(n)
+                named = pa.array(found, pa.string()).dictionary_encode()
+                names = named.dictionary
+                pieces = np.array([known.get(pre, 0) for pre in names.to_pylist()] or [0])
+                code = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                doc = np.repeat(np.arange(len(texts)), lengths)
+                common = np.array(special)
+                np.add.at(common, doc, pieces[code])
+                # every pre-token has a piece, so those without are the rare ones
+                rare = pieces[code] == 0
+                each, freq = np.unique(doc[rare] * len(names) + code[rare], return_counts=True)
+                offsets = np.searchsorted(each, np.arange(len(texts) + 1) * len(names))
+                pairs = pa.StructArray.from_arrays(
+                    [names.take(pa.array(each % max(len(names), 1))), pa.array(freq)],
+                    names=["pre", "freq"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(key, key + len(texts))),
+                     ids_of(batch, "doc_id").slice(first, len(texts)),
+                     pa.array([len(text.encode()) for text in texts], pa.int64()),
+                     pa.array(common.astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pairs)],
+                    names=["row_key", "doc_id", "n_bytes", "common", "rare"])
+                key += len(texts)
 
     return rows.mapInArrow(count, f"row_key long, doc_id {id_type}, n_bytes long, common long, "
                                   "rare array<struct<pre: string, freq: long>>")
