@@ -7,7 +7,7 @@ is done after one full cycle, in which it has met every shard once. So lengths i
 phrases that cannot reach the threshold are mostly never counted.
 
 When a subphrase reached the threshold is told to the scanning tasks by a table of a fixed number
-of slots, one byte each, addressed by a hash. Two phrases in one slot can only start a phrase too
+of slots, addressed by a hash. Two phrases in one slot can only start a phrase too
 early, never too late, and always at the same scan, so each counted phrase still meets every shard
 once; what was counted for nothing stays below the threshold and falls out.
 """
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casestar.llm.common import byte_values, ids_of, place, staged
+from casestar.llm.common import byte_values, ids_of, place, runs, staged
 
 SHARDS = 3
 SLOTS = 1 << 24
@@ -38,9 +38,14 @@ _CUT = 0xFF  # stands in no UTF-8 text
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _LOWER = bytes(range(256)).lower().translate(bytes.maketrans(_ENDS, bytes([_CUT]) * len(_ENDS)))
 
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("words", pa.int32()),
-                    ("start", pa.int32()), ("freq", pa.int64())])
-COUNTS_DDL = "lang string, phrase binary, words int, start int, freq long"
+# Counts travel and rest in compressed Arrow blocks, one per bucket of phrases: a shuffle row of
+# its own for each phrase costs several times as much as counting it. A key is the language, the
+# byte above and the phrase.
+COUNTS = pa.schema([("key", pa.binary()), ("words", pa.uint8()), ("start", pa.uint8()),
+                    ("freq", pa.int64())])
+COUNTING, DONE, REACHED = 0, 1, 2
+# Blocks are merged when so many rows of a bucket wait.
+MERGE_ROWS = 1 << 20
 
 
 def collocations(docs: DataFrame, top: int = 2000, threshold: int = 10, inside_percent: int = 50,
@@ -138,52 +143,130 @@ def phrase_counts(docs: DataFrame, threshold: int = 10, lang: str = "lang", text
      .write.partitionBy("shard").option("compression", "zstd").parquet(corpus))
     texts = spark.read.schema("lang string, text string, shard int").parquet(corpus)
 
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # per length and slot the scan with which a phrase there came to the threshold
     reached = np.full((2, slots), NEVER, np.uint8)
-    counting: DataFrame | None = None  # phrases whose cycle is not over yet
-    done: list[DataFrame] = []
+    states: list[DataFrame] = []
     scan = 0
     while scan < shards or (reached[reached < NEVER] >= scan - shards).any():
-        table = spark.sparkContext.broadcast(reached)
-        seen = _scanned(texts.where(F.col("shard") == scan % shards), table, scan, shards)
-        seen = seen.withColumn("old", F.lit(0).cast("long"))
-        if counting is not None:
-            seen = seen.unionByName(counting.withColumn("old", F.col("freq")))
-        state = staged(seen.groupBy("lang", "phrase", "words", "start").agg(
-            F.sum("freq").alias("freq"), F.sum("old").alias("old")), "phrase-counts")
-        _mark(state.where((F.col("freq") >= threshold) & (F.col("old") < threshold)),
-              reached, scan)
-        state = state.drop("old")
-        over = F.col("start") == scan - shards + 1
-        done.append(state.where(over & ((F.col("words") == 1) | (F.col("freq") >= threshold))))
-        counting = state.where(~over)
+        # 5 bytes per slot in use
+        used = [np.flatnonzero(row < NEVER).astype(np.int32) for row in reached]
+        table = spark.sparkContext.broadcast(
+            (slots, [(at, row[at]) for at, row in zip(used, reached)]))
+        seen = _scanned(texts.where(F.col("shard") == scan % shards), table, scan, shards, buckets)
+        seen = seen.withColumn("held", F.lit(False))
+        if states:
+            seen = seen.unionByName(states[-1].where(F.col("kind") == COUNTING).drop("kind")
+                                    .withColumn("held", F.lit(True)))
+        path = place(spark, "phrase-counts")
+        _merged(seen, buckets, threshold, scan, shards, slots).write.partitionBy("kind").parquet(
+            path)
+        table.destroy()  # the scan is written
+        states.append(spark.read.schema("bucket int, block binary, kind int").parquet(path))
+        # at most one row per slot and length
+        new = (states[-1].where(F.col("kind") == REACHED).mapInArrow(
+            _slots_of, "words int, slot int").distinct().toArrow())
+        row, slot = new["words"].to_numpy() - 1, new["slot"].to_numpy()
+        fresh = reached[row, slot] == NEVER
+        reached[row[fresh], slot[fresh]] = scan
         scan += 1
-    found = done[0]
-    for frame in done[1:]:
-        found = found.unionByName(frame)
-    return found.drop("start")
+    done = states[0].where(F.col("kind") == DONE)
+    for state in states[1:]:
+        done = done.unionByName(state.where(F.col("kind") == DONE))
+    return done.select("block").mapInArrow(
+        _rows_of, "lang string, phrase binary, words int, freq long")
 
 
-def _mark(state: DataFrame, reached: np.ndarray, scan: int) -> None:
-    """Note the scan in the slots of the phrases of ``state``, where no earlier one is noted."""
-    slots = reached.shape[1]
+def pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema,
+                           options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(block) -> pa.Table:
+    return pa.ipc.open_stream(block.as_buffer()).read_all()
+
+
+def _blocks(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+         pa.array([r[2] for r in rows], pa.binary())], names=["kind", "bucket", "block"])
+
+
+def _slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in ids_of(batch, "block"):
+            yield from unpack(block).to_batches()
+
 
-    def address(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    mark = bytes([_CUT])
+    for batch in batches:
+        for block in ids_of(batch, "block"):
+            for part in unpack(block).to_batches(20_000):
+                split = [key.split(mark) for key in part["key"].to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0].decode() for x in split], pa.string()),
+                     pa.array([x[1] for x in split], pa.binary()),
+                     part["words"].cast(pa.int32()), part["freq"]],
+                    names=["lang", "phrase", "words", "freq"])
+
+
+def _merged(seen: DataFrame, buckets: int, threshold: int, scan: int, shards: int,
+            slots: int) -> DataFrame:
+    """Blocks after a scan: phrases that go on counting, phrases whose cycle is over, and the
+    slots of those that have just come to the threshold."""
+    def settle(bucket: int, tables: list[pa.Table]) -> pa.RecordBatch:
+        found = summed(tables)
+        freq, old = found["freq"].to_numpy(), found["old"].to_numpy()
+        words, start = found["words"].to_numpy(), found["start"].to_numpy()
+        new = found.filter(pa.array((freq >= threshold) & (old < threshold) & (words < 3)))
+        over = start == scan - shards + 1
+        rows = []
+        if len(new):
+            rows.append((REACHED, bucket, pack(pa.table({
+                "words": new["words"].cast(pa.int32()),
+                "slot": pa.array([key_slot(key, slots) for key in new["key"].to_pylist()],
+                                 pa.int32())}))))
+        for kind, keep in ((COUNTING, ~over),
+                           (DONE, over & ((words == 1) | (freq >= threshold)))):
+            if keep.any():
+                rows.append((kind, bucket, pack(
+                    found.filter(pa.array(keep)).select(COUNTS.names))))
+        return _blocks(rows)
+
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(["key", "words", "start"]).aggregate(
+            [("freq", "sum"), ("old", "sum")]).rename_columns(
+            ["key", "words", "start", "freq", "old"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, tables, waiting = None, [], 0
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                words = row["phrase"].split(b" ")
-                hashes = [np.array([h], np.uint64) for h in word_hashes(row["lang"], words)]
-                found.append(int(phrase_slots(hashes, slots)[0]))
-            yield pa.RecordBatch.from_arrays([ids_of(batch, "words"), pa.array(found, pa.int32())],
-                                             names=["words", "slot"])
-
-    # at most one row per slot and length
-    new = (state.where("words < 3").select("lang", "phrase", "words")
-           .mapInArrow(address, "words int, slot int").distinct().toArrow())
-    row, slot = new["words"].to_numpy() - 1, new["slot"].to_numpy()
-    fresh = reached[row, slot] == NEVER
-    reached[row[fresh], slot[fresh]] = scan
+            for at, held, block in zip(ids_of(batch, "bucket").to_pylist(),
+                                       ids_of(batch, "held").to_pylist(), ids_of(batch, "block")):
+                if bucket is not None and at != bucket:
+                    yield settle(bucket, tables)
+                    tables, waiting = [], 0
+                bucket, found = at, unpack(block)
+                tables.append(found.append_column("old", found["freq"] if held else pa.array(
+                    np.zeros(len(found), np.int64))))
+                waiting += len(found)
+                if waiting > MERGE_ROWS:
+                    tables, waiting = [summed(tables)], 0
+        if bucket is not None:
+            yield settle(bucket, tables)
+
+    return (seen.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(merge, "kind int, bucket int, block binary"))
+
+
+def key_slot(key: bytes, slots: int) -> int:
+    lang, phrase = key.split(bytes([_CUT]))
+    hashes = word_hashes(lang.decode(), phrase.split(b" "))
+    return int(phrase_slots(phrase_hashes([hashes[i:i + 1] for i in range(len(hashes))]), slots)[0])
 
 
 def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -191,18 +274,25 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
 
 
-def phrase_slots(hashes: list[np.ndarray], slots: int) -> np.ndarray:
-    """The slots of phrases, given the hashes of their words, one array per place."""
+def phrase_hashes(hashes: list[np.ndarray]) -> np.ndarray:
+    """The hashes of phrases, given those of their words, one array per place."""
     mixed = hashes[0]
     for other in hashes[1:]:
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + other
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed >> np.uint64(24)) % np.uint64(slots)).astype(np.int64)
+    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
 
+def phrase_slots(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return ((hashes >> np.uint64(24)) % np.uint64(slots)).astype(np.int64)
 
-def _scanned(texts: DataFrame, table, scan: int, shards: int) -> DataFrame:
-    """What one scan counts: the phrases that are active in it."""
+
+def _scanned(texts: DataFrame, table, scan: int, shards: int, buckets: int) -> DataFrame:
+    """What one scan counts: blocks of the phrases that are active in it."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, used = table.value
+        reached = np.full((len(used), slots), NEVER, np.uint8)
+        for row, (at, scans) in zip(reached, used):
+            row[at] = scans
         waiting: dict[str, list[bytes]] = {}
         size = 0
         for batch in batches:
@@ -212,12 +302,12 @@ def _scanned(texts: DataFrame, table, scan: int, shards: int) -> DataFrame:
                 size += len(text)
                 if size >= CHUNK_BYTES:
                     for name, found in waiting.items():
-                        yield from chunk_counts(name, found, table.value, scan, shards)
+                        yield from chunk_counts(name, found, reached, scan, shards, buckets)
                     waiting, size = {}, 0
         for name, found in waiting.items():
-            yield from chunk_counts(name, found, table.value, scan, shards)
+            yield from chunk_counts(name, found, reached, scan, shards, buckets)
 
-    return texts.select("lang", "text").mapInArrow(count, COUNTS_DDL)
+    return texts.select("lang", "text").mapInArrow(count, "bucket int, block binary")
 
 
 def chunks(texts: list[bytes], size: int) -> Iterator[bytes]:
@@ -233,10 +323,11 @@ def chunks(texts: list[bytes], size: int) -> Iterator[bytes]:
         start = end + 1
 
 
-def chunk_counts(lang: str, texts: list[bytes], reached: np.ndarray, scan: int,
-                 shards: int) -> Iterator[pa.RecordBatch]:
+def chunk_counts(lang: str, texts: list[bytes], reached: np.ndarray, scan: int, shards: int,
+                 buckets: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of some texts of one language that are active in this scan."""
     mark = bytes([_CUT])
+    slots = reached.shape[1]
     for data in chunks(texts, CHUNK_BYTES):
         named = pa.array(data.replace(mark, b" " + mark + b" ").split(),
                          pa.binary()).dictionary_encode()
@@ -244,46 +335,63 @@ def chunk_counts(lang: str, texts: list[bytes], reached: np.ndarray, scan: int,
         if not len(words):
             continue
         known = len(names)
-        border = np.zeros(known, bool)
-        border[[i for i, name in enumerate(names.to_pylist()) if name == mark]] = True
-        inside = ~border[words]
-        if scan < shards:  # single words start with scan 0
-            freq = np.bincount(words[inside], minlength=known)
-            yield _batch(lang, names, [np.flatnonzero(freq)], np.zeros(known, np.int64),
-                         freq[freq > 0])
-        if scan == 0:
-            continue
+        border = np.array(pc.equal(names, pa.scalar(mark, pa.binary())))
         hashes = word_hashes(lang, names.to_pylist())
-        came = np.where(border, NEVER, reached[0, phrase_slots([hashes], reached.shape[1])])
-        # per place the scan with which both words of the pair there had come to the threshold
-        both = np.maximum(came[words[:-1]], came[words[1:]]).astype(np.int64)
-        at = np.flatnonzero(both < NEVER)
-        key, pair, freq = np.unique(words[at] * known + words[at + 1], return_inverse=True,
-                                    return_counts=True)
-        first, second = key // known, key % known
-        start = np.maximum(came[first], came[second]).astype(np.int64) + 1
-        now = (start <= scan) & (start > scan - shards)
-        yield _batch(lang, names, [first[now], second[now]], start[now], freq[now])
-        slots = phrase_slots([hashes[first], hashes[second]], reached.shape[1])
-        pair_came = np.maximum(start - 1, reached[1, slots])
-        # a triple is two pairs that stand one word apart
-        chain = np.flatnonzero(at[1:] == at[:-1] + 1)
-        left, right = pair[chain], pair[chain + 1]
-        start = np.maximum(pair_came[left], pair_came[right]) + 1
-        now = (start <= scan) & (start > scan - shards)
-        key, where, freq = np.unique(left[now] * known + second[right[now]], return_index=True,
-                                     return_counts=True)
-        yield _batch(lang, names, [first[key // known], second[key // known], key % known],
-                     start[now][where], freq)
-
-
-def _batch(lang: str, names: pa.Array, places: list[np.ndarray], start: np.ndarray,
-           freq: np.ndarray) -> pa.RecordBatch:
+        found = []
+        if scan < shards:  # single words start with scan 0
+            freq = np.bincount(words[~border[words]], minlength=known)
+            seen = np.flatnonzero(freq)
+            found.append(_counted([seen], np.zeros(len(seen)), freq[seen], names, hashes))
+        if scan > 0:
+            came = np.where(border, NEVER, reached[0, phrase_slots(phrase_hashes([hashes]), slots)])
+            # per place the scan with which both words of the pair there had come to the threshold
+            both = np.maximum(came[words[:-1]], came[words[1:]])
+            at = np.flatnonzero(both < NEVER)
+            key, pair, freq = np.unique(words[at] * known + words[at + 1], return_inverse=True,
+                                        return_counts=True)
+            first, second = key // known, key % known
+            start = np.maximum(came[first], came[second]).astype(np.int64) + 1
+            now = (start <= scan) & (start > scan - shards)
+            found.append(_counted([first[now], second[now]], start[now], freq[now], names, hashes))
+            pair_came = np.maximum(start - 1, reached[1, phrase_slots(
+                phrase_hashes([hashes[first], hashes[second]]), slots)])
+            # a triple is two pairs that stand one word apart
+            chain = np.flatnonzero(at[1:] == at[:-1] + 1)
+            left, right = pair[chain], pair[chain + 1]
+            start = np.maximum(pair_came[left], pair_came[right]) + 1
+            now = (start <= scan) & (start > scan - shards)
+            key, where, freq = np.unique(left[now] * known + second[right[now]],
+                                         return_index=True, return_counts=True)
+            left = key // known
+            found.append(_counted([first[left], second[left], key % known], start[now][where],
+                                  freq, names, hashes))
+        yield _bucketed(lang, found, buckets)
+
+
+def _counted(places: list[np.ndarray], start: np.ndarray, freq: np.ndarray, names: pa.Array,
+             hashes: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """Phrases, given their words by place, and the hashes that deal them to buckets."""
     words = [names.take(pa.array(p)) for p in places]
     phrase = words[0] if len(words) == 1 else pc.binary_join_element_wise(
         *words, pa.scalar(b" ", pa.binary()))
-    rows = len(freq)
-    return pa.RecordBatch.from_arrays([
-        pa.array([lang], pa.string()).take(pa.array(np.zeros(rows, np.int64))), phrase,
-        pa.array(np.full(rows, len(places), np.int32)), pa.array(start[:rows].astype(np.int32)),
-        pa.array(freq.astype(np.int64))], schema=COUNTS)
+    return pa.table([phrase, pa.array(np.full(len(freq), len(places), np.uint8)),
+                     pa.array(start.astype(np.uint8)), pa.array(freq.astype(np.int64))],
+                    schema=COUNTS), phrase_hashes([hashes[p] for p in places])
+
+
+def _bucketed(lang: str, found: list[tuple[pa.Table, np.ndarray]],
+              buckets: int) -> pa.RecordBatch:
+    """One block per bucket."""
+    table = pa.concat_tables([t for t, _ in found]).combine_chunks()
+    bucket = np.concatenate([h for _, h in found]) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    begin, end = runs(bucket[order])
+    prefix = pa.scalar(lang.encode() + bytes([_CUT]), pa.binary())
+    rows = []
+    for a, b in zip(begin.tolist(), end.tolist()):
+        part = table.take(pa.array(order[a:b]))
+        key = pc.binary_join_element_wise(prefix, part["key"], pa.scalar(b"", pa.binary()))
+        rows.append((int(bucket[order[a]]), pack(part.set_column(0, COUNTS.field(0), key))))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+        names=["bucket", "block"])
