@@ -11,13 +11,11 @@ import argparse
 
 from casestar.config import PARTITION_COLUMNS
 from casestar.plans.answers import publish_answers
-from casestar.plans.audit import build_audit
 from casestar.plans.etl import build_warehouse
 from casestar.plans.ingest import ingest, size_shuffles
 from casestar.session import get_session
 from casestar.sources.readers import read_raw_csv
 from casestar.sources.warehouse import open_warehouse
-from casestar.sources.writers import staged
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -31,7 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument(target)
         if step == "build":
             command.add_argument("--flat", action="store_true", help="do not partition the fact")
-            command.add_argument("--audit", action="store_true", help="count what the build did")
+            command.add_argument("--audit", action="store_true", help="show what the build counted")
     options = parser.parse_args(arguments)
     spark = get_session(master=options.master)
     if options.step == "land":
@@ -43,7 +41,7 @@ def main(arguments: list[str] | None = None) -> None:
         built = build_warehouse(spark, raw, options.warehouse,
                                 partition_by=() if options.flat else PARTITION_COLUMNS)
         if options.audit:
-            staged(build_audit(raw, built), f"{built.path}/audit").show(100, truncate=False)
+            built.audit().show(100, truncate=False)
     else:
         publish_answers(open_warehouse(spark, options.warehouse), options.folder)
 

@@ -298,6 +298,10 @@ def _counts(section: str, source: str, **items: str) -> list[str]:
             for item, count in items.items()]
 
 
+INTEGRITY_COUNTS = _counts("integrity", "integrity", **{name: name for name in (
+    "fact_rows", "base_rows", *CHECKS)})
+
+
 def _step_counts(label: str, before: str, after: str) -> list[str]:
     b, a = (f"(SELECT count(*) FROM {name})" for name in (before, after))
     return _counts(label, "(SELECT 1)", rows_before=b, rows_removed=f"{b} - {a}", rows_after=a)
@@ -411,6 +415,27 @@ def oracle_sql() -> dict[str, str]:
             "count(*) FILTER (longitude <> 0 AND (longitude < -74.3e0 OR longitude > -73.7e0)) "
             "AS longitude_out_of_range_rows FROM typed", "typed"),
         "build_audit": _with(" UNION ALL ".join([
+            *_step_counts("1 missing key", "raw", "keyed"),
+            *_step_counts("2 duplicate key", "keyed", "uniq"),
+            *_step_counts("3 invalid date", "uniq", "dated"),
+            *_counts(
+                "coordinates", "typed",
+                both_zero_rows="count(*) FILTER (latitude = 0 AND longitude = 0)",
+                latitude_out_of_range_rows="count(*) FILTER (latitude <> 0 "
+                "AND (latitude < 40.4e0 OR latitude > 40.9e0))",
+                longitude_out_of_range_rows="count(*) FILTER (longitude <> 0 "
+                "AND (longitude < -74.3e0 OR longitude > -73.7e0))"),
+            *_counts("flags", "clean",
+                     property_damage_only_rows="count(*) FILTER (property_damage_only)",
+                     injury_count_flagged_rows="count(*) FILTER (injury_count_flagged)"),
+            *INTEGRITY_COUNTS,
+            *_counts("fact_crash", "fact", row_count="count(*)"),
+            *_counts("dim_date", "d_date", row_count="count(*)"),
+            *_counts("dim_location", "d_location", row_count="count(*)"),
+            *_counts("dim_vehicle", "d_vehicle", row_count="count(*)"),
+            *_counts("dim_factor", "d_factor", row_count="count(*)"),
+        ]), "integrity", "typed", "dated"),
+        "build_audit_recounted": _with(" UNION ALL ".join([
             *_step_counts("1 missing key", "raw", "keyed"),
             *_step_counts("2 duplicate key", "keyed", "uniq"),
             *_step_counts("3 invalid date", "uniq", "dated"),

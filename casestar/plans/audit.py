@@ -1,4 +1,8 @@
-"""What a build dropped, nulled, flagged and wrote."""
+"""What a build dropped, nulled, flagged and wrote, counted once more.
+
+Every build writes these counts itself, observed on the rows it writes (``Warehouse.audit``). This
+is the independent way: passes over the raw and the published tables.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,7 @@ from casestar.plans.etl import COORDINATES, typed_coordinates, unique_records
 from casestar.sources.warehouse import Warehouse
 
 
-def build_audit(raw: DataFrame, warehouse: Warehouse, columns: RawColumns = RawColumns(),
+def recounted_audit(raw: DataFrame, warehouse: Warehouse, columns: RawColumns = RawColumns(),
                 rules: CleanRules = CleanRules()) -> DataFrame:
     """One row per count of a build: ``section``, ``item``, ``observed``.
 

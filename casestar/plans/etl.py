@@ -8,11 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casestar.config import COUNT_COLUMNS, PARTITION_COLUMNS, CleanRules, RawColumns
-from casestar.functions import lenient_long
+from casestar.functions import is_blank, lenient_long
 from casestar.operators.clean import (
     above_flag,
     all_zero_flag,
@@ -33,22 +33,50 @@ from casestar.operators.dimensions import (
 )
 from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.keys import KeyedTable
-from casestar.operators.quality import GateFailure, fact_integrity, gate
-from casestar.sources.warehouse import Warehouse, publish
-from casestar.sources.writers import staged, write_partitioned, write_table
+from casestar.operators.observed import Watch, row_count, watched
+from casestar.operators.quality import (
+    GateFailure,
+    base_metrics,
+    coordinate_predicates,
+    fact_integrity,
+    fact_metrics,
+    gate,
+    integrity_row,
+    keys_agree,
+)
+from casestar.sources.warehouse import AUDIT, Warehouse, publish
+from casestar.sources.writers import rebalanced, staged, write_table
 
 COORDINATES = ["latitude", "longitude"]
 ALL_DIMENSIONS = ("dim_date", "dim_location", "dim_vehicle", "dim_factor")
+FLAGS = ("property_damage_only", "injury_count_flagged")
+COORDINATE_COUNTS = ("both_zero_rows", "latitude_out_of_range_rows", "longitude_out_of_range_rows")
 FOREIGN_KEY_ORDER = ("date_key", "location_key", "vehicle_key", "factor_key")
 
 
-def unique_records(raw: DataFrame, columns: RawColumns = RawColumns()) -> DataFrame:
+def unique_records(raw: DataFrame, columns: RawColumns = RawColumns(),
+                   watch: Watch | None = None) -> DataFrame:
     """Published names, keyed rows only, one row per id; all still text."""
-    return (rename_raw(raw, columns.names)
+    named = rename_raw(raw, columns.names)
+    return (watched(named, watch, key_metrics("collision_id"))
             .transform(drop_blank_key, "collision_id")
             .transform(dedup_by_key, "collision_id"))
 
 
+def key_metrics(key: str) -> dict[str, Column]:
+    return {"rows_read": row_count(), "rows_keyed": F.count_if(~is_blank(F.col(key)))}
+
+
+def typed_metrics(rules: CleanRules) -> dict[str, Column]:
+    tests = coordinate_predicates(*COORDINATES, rules.latitude_range, rules.longitude_range)
+    return {"rows_unique": row_count(), **{n: F.count_if(test) for n, test in tests.items()}}
+
+
+def clean_metrics() -> dict[str, Column]:
+    return {**{f"{flag}_rows": F.count_if(F.col(flag)) for flag in FLAGS},
+            **base_metrics("collision_id")}
+
+
 def typed_coordinates(unique: DataFrame) -> DataFrame:
     return lenient_cast(unique, {name: "double" for name in COORDINATES})
 
@@ -60,10 +88,13 @@ def valid_coordinates(typed: DataFrame, rules: CleanRules = CleanRules()) -> Dat
 
 
 def clean_records(raw: DataFrame, columns: RawColumns = RawColumns(),
-                  rules: CleanRules = CleanRules()) -> DataFrame:
-    """The cleaned wide table: one shuffle, for the ids; all else is a projection."""
-    return (unique_records(raw, columns)
-            .transform(typed_coordinates)
+                  rules: CleanRules = CleanRules(), watch: Watch | None = None) -> DataFrame:
+    """The cleaned wide table: one shuffle, for the ids; all else is a projection.
+
+    A ``watch`` counts what each step reads, drops and flags while the table is written.
+    """
+    typed = unique_records(raw, columns, watch).transform(typed_coordinates)
+    clean = (watched(typed, watch, typed_metrics(rules))
             .transform(valid_coordinates, rules)
             .withColumn("date_text", F.col("crash_date"))
             .transform(parse_date_drop_invalid, "date_text", rules.date_format, "crash_date")
@@ -78,6 +109,7 @@ def clean_records(raw: DataFrame, columns: RawColumns = RawColumns(),
                 "partition_month": F.month("crash_date"),
             })
             .drop("date_text"))
+    return watched(clean, watch, clean_metrics())
 
 
 @dataclass(frozen=True)
@@ -88,6 +120,7 @@ class StagedStar:
     clean: DataFrame
     dims: dict[str, Dimension]
     keyed: dict[str, KeyedTable]
+    counts: dict[str, int]  # observed while the clean table was written
 
     def base(self) -> DataFrame:
         return fact_base(self.clean, self.dims.values())
@@ -111,10 +144,22 @@ def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
     jobs see the same survivors and the same keys.
     """
     path = f"{root}/v-{uuid.uuid4().hex}"
-    clean = staged(clean_records(raw, columns, rules), f"{path}/_stage/clean")
+    watch = Watch(raw.sparkSession)
+    with watch.running():
+        clean = staged(clean_records(raw, columns, rules, watch), f"{path}/_stage/clean")
+    counts = watch.values()
+    if not watch.is_exact():  # rows before the shuffle may have been counted twice
+        counts |= count_keyed(raw, columns)
     check_ids(clean)
     dims = standard_dimensions(rules)
-    return StagedStar(path, clean, dims, build_dimensions(clean, dims, path))
+    return StagedStar(path, clean, dims, build_dimensions(clean, dims, path), counts)
+
+
+def count_keyed(raw: DataFrame, columns: RawColumns) -> dict[str, int]:
+    """What the watch counts before the shuffle, in a pass of its own."""
+    metrics = key_metrics("collision_id")
+    return rename_raw(raw, columns.names).agg(
+        *[metric.alias(name) for name, metric in metrics.items()]).first().asDict()
 
 
 def check_ids(clean: DataFrame, examples: int = 5) -> None:
@@ -140,25 +185,52 @@ def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
     may be broadcast; each still has to pass the check of its measured size.
     """
     spark = star.clean.sparkSession
+    watch = Watch(spark)
+    metrics = fact_metrics("collision_id", FOREIGN_KEY_ORDER)
     fact = star.fact(broadcast)
     if partition_by:
-        write_partitioned(fact, f"{star.path}/fact_crash", partition_by)
-    else:
-        write_table(fact, f"{star.path}/fact_crash")
+        # observed behind the rebalancing, in the tasks that write
+        fact = rebalanced(fact, partition_by)
+    write_table(watch.on(fact, metrics), f"{star.path}/fact_crash", partition_by=partition_by)
 
+    found = star.counts | watch.values()
     written = Warehouse(spark, star.path, rows={}, payload_bytes={}).table("fact_crash")
-    observed = fact_integrity(written, star.clean, "collision_id", FOREIGN_KEY_ORDER).first()
+    # answered from the footers of the files
+    in_files = written.count()
+    if in_files != found["fact_rows"]:
+        raise GateFailure(f"the fact files hold {in_files} of {found['fact_rows']} rows")
+    if keys_agree(found):  # the ids of the clean table are unique, see check_ids
+        observed = integrity_row(found, 0, "collision_id", FOREIGN_KEY_ORDER)
+    else:
+        observed = fact_integrity(written, star.clean, "collision_id",
+                                  FOREIGN_KEY_ORDER).first().asDict()
+    rows = {"fact_crash": observed["fact_rows"]} | {n: k.rows for n, k in star.keyed.items()}
+    write_audit(spark, star.path, found, observed, rows)
     gate(observed, "collision_id", FOREIGN_KEY_ORDER)
 
-    published = Warehouse(
-        spark, star.path,
-        rows={"fact_crash": observed.fact_rows} | {n: k.rows for n, k in star.keyed.items()},
-        payload_bytes={n: k.payload_bytes for n, k in star.keyed.items()},
-    )
+    published = Warehouse(spark, star.path, rows=rows, payload_bytes={
+        n: k.payload_bytes for n, k in star.keyed.items()})
     publish(published, root, star.path.rsplit("/", 1)[-1], time.time_ns())
     return published
 
 
+def write_audit(spark: SparkSession, path: str, counts: dict[str, int],
+                integrity: dict[str, int], rows: dict[str, int]) -> None:
+    """The counts of a build as ``section``, ``item``, ``observed``, next to its tables. A refused
+    build has them too."""
+    steps = (("1 missing key", "rows_read", "rows_keyed"),
+             ("2 duplicate key", "rows_keyed", "rows_unique"),
+             ("3 invalid date", "rows_unique", "base_rows"))
+    audit = [(step, item, value) for step, before, after in steps for item, value in (
+        ("rows_before", counts[before]), ("rows_removed", counts[before] - counts[after]),
+        ("rows_after", counts[after]))]
+    audit += [("coordinates", name, counts[name]) for name in COORDINATE_COUNTS]
+    audit += [("flags", f"{flag}_rows", counts[f"{flag}_rows"]) for flag in FLAGS]
+    audit += [("integrity", name, value) for name, value in integrity.items()]
+    audit += [(table, "row_count", count) for table, count in rows.items()]
+    spark.createDataFrame(audit, AUDIT).coalesce(1).write.mode("overwrite").json(f"{path}/audit")
+
+
 def build_dimensions(clean: DataFrame, dims, path: str) -> dict[str, KeyedTable]:
     """All dimensions, staged and written. They are independent, so their jobs run side by side."""
     def build(dim) -> KeyedTable:

@@ -20,6 +20,12 @@ MANIFEST = T.StructType([
     T.StructField("payload_bytes", T.LongType()),
 ])
 
+AUDIT = T.StructType([
+    T.StructField("section", T.StringType()),
+    T.StructField("item", T.StringType()),
+    T.StructField("observed", T.LongType()),
+])
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -35,6 +41,10 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE}
 
+    def audit(self) -> DataFrame:
+        """What the build counted while it wrote: ``section``, ``item``, ``observed``."""
+        return self.spark.read.schema(AUDIT).json(f"{self.path}/audit")
+
     def fits_broadcast(self, name: str) -> bool:
         """By the size measured when the table was built; an unmeasured table does not fit."""
         return self.payload_bytes.get(name, self.broadcast_limit + 1) <= self.broadcast_limit

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> None:
+    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+
+
+def rebalanced(df: DataFrame, columns) -> DataFrame:
+    """Rows of a folder brought together, a folder that is too large for one task split."""
+    return df.hint("rebalance", *columns)
 
 
 def write_partitioned(df: DataFrame, path: str, columns, mode: str = "overwrite") -> None:
@@ -16,7 +21,7 @@ def write_partitioned(df: DataFrame, path: str, columns, mode: str = "overwrite"
     The rebalance hint brings the rows of a partition together, so a task does not leave one
     small file in every folder, and still splits a partition that is too large for one task.
     """
-    df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+    write_table(rebalanced(df, columns), path, mode, columns)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
