@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from casestar.operators import quality as Q
 from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.rollup import FOREIGN_KEYS, register_star_view, star_base
 from casestar.operators.windows import highlight, pick, top_k
-from casestar.plans import audit, etl
+from casestar.plans import audit, etl, sql
 from casestar.plans import questions as ask
 from casestar.plans import report as show
 from casestar.sources import landing, readers, writers
@@ -158,6 +159,25 @@ def sql_over_view(spark: SparkSession, sf: str) -> DataFrame:
     """)
 
 
+def _sql_question(name: str, rounded: str | None = None) -> Query:
+    def answer(spark: SparkSession, sf: str) -> DataFrame:
+        found = sql.question_sql(fixture.warehouse(spark, sf), name, RULES)
+        return _rounded(found, rounded) if rounded else found
+    return answer
+
+
+def sql_q1_rate_rank(spark: SparkSession, sf: str) -> DataFrame:
+    rates = sql.question_sql(fixture.warehouse(spark, sf), "fatality_rates", RULES)
+    return _rounded(rates, "fatality_rate").withColumnRenamed("fatality_rate", show.RATE)
+
+
+def sql_pruned_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of days, a threshold and labels as arguments; folders are pruned by the days."""
+    return sql.run_sql(fixture.warehouse(spark, sf), sql.SEVERITY_OF_DAYS,
+                       first_day=date(1996, 11, 20), last_day=date(1997, 2, 10), fatal_from=1,
+                       fatal="someone's death", not_fatal='no ":death"')
+
+
 # quality
 
 def dq_required_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,8 +240,7 @@ def fact_integrity_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def partition_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.partition_summary(fixture.warehouse(spark, sf).table("fact_crash"),
-                               ["partition_year", "partition_month"])
+    return fixture.warehouse(spark, sf).folders()
 
 
 # cleaning
@@ -302,6 +321,17 @@ def queries() -> dict[str, Query]:
         "land_raw_verify": land_raw_verify,
         "star_base": lambda spark, sf: star_base(fixture.warehouse(spark, sf)),
         "sql_over_view": sql_over_view,
+        "sql_pruned_by_date": sql_pruned_by_date,
+        "sql_agg_count_by_group": _sql_question("crashes_by_borough"),
+        "sql_q1_rate_rank": sql_q1_rate_rank,
+        "sql_q2_peak_hours": _sql_question("pedestrian_peak_hours"),
+        "sql_q2_heatmap": _sql_question("pedestrian_heatmap"),
+        "sql_q3_severity": _sql_question("severity_by_vehicle"),
+        "sql_q4_monthly_lag": _sql_question("cyclist_months"),
+        "sql_q4_period_summary": _sql_question("cyclist_periods", "avg_row_cyclist_injuries"),
+        "sql_q5_factor_rank": _sql_question("severe_crash_factors"),
+        "sql_geo_points": lambda spark, sf: show.map_points(
+            _sql_question("located_points")(spark, sf)),
         "topk_preview": topk_preview,
         "dq_required_columns": dq_required_columns,
         "dq_duplicate_keys": dq_duplicate_keys,

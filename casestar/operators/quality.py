@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casestar.functions import is_blank
 from casestar.operators.clean import first_with_copies
@@ -253,9 +254,31 @@ def gate(observed: Row | dict, key: str, foreign_keys) -> None:
         raise GateFailure("warehouse not published: " + ", ".join(failed))
 
 
-def partition_summary(fact: DataFrame, columns) -> DataFrame:
-    """Distinct partitions in order; an input without these columns is an error."""
-    absent = missing_columns(fact, columns)
-    if absent:
-        raise ValueError(f"not partitioned by {absent}")
-    return fact.select(*columns).distinct().orderBy(*columns)
+def partition_summary(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    """The partitions of a folder-partitioned table that hold files, in order.
+
+    Answered from the listing: no file is opened. A folder without files does not count, and a
+    file outside ``key=value`` folders of these columns is an error.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .where("length > 0").select("path"))
+    inside = F.substring(F.col("path"), F.length(F.regexp_extract("path", _TABLE.format(
+        path.rstrip("/").rsplit("/", 1)[-1]), 0)) + 1, 1 << 20)
+    named = listed.select(*[_folder_value(inside, f) for f in columns])
+    return named.distinct().orderBy(*columns.names)
+
+
+# everything up to the table's own folder
+_TABLE = r"^.*/\Q{}\E(?=/)"
+# Fixed value: the folder name of a null.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_value(inside: Column, field: T.StructField) -> Column:
+    """The value of a column in a path, typed; other folder names raise."""
+    text = F.regexp_extract(inside, rf"/\Q{field.name}\E=([^/]*)/", 1)
+    missing = F.raise_error(F.concat(F.lit(f"not partitioned by {field.name}: "), inside))
+    # a plus sign stands for itself in folder names
+    value = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return (F.when(text == "", missing.cast("string"))
+            .when(text != _NULL_FOLDER, value)).cast(field.dataType).alias(field.name)

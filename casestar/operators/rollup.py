@@ -20,15 +20,29 @@ FOREIGN_KEYS = {
 PREAGGREGATE_RATIO = 4
 
 
-def star_base(warehouse: Warehouse, dims=tuple(FOREIGN_KEYS), columns=None) -> DataFrame:
+# what a fact's folders repeat of a dimension
+FOLDERS = {"dim_date": {"partition_year": "year", "partition_month": "month"}}
+
+
+def star_base(warehouse: Warehouse, dims=tuple(FOREIGN_KEYS), columns=None,
+              prune: bool = False) -> DataFrame:
     """The fact with the attributes of ``dims``, in the published column order.
 
     List only the dimensions a question reads: an unused left join is not removed for you.
+    ``prune`` joins a dimension on the folder columns as well, which equal its own by
+    construction: a filter on any of its attributes then prunes folders while the query runs.
     """
     fact = warehouse.table("fact_crash")
     joined = fact
     for name in dims:
-        joined = joined.join(warehouse.join_side(name), FOREIGN_KEYS[name], "left")
+        side, key = warehouse.join_side(name), FOREIGN_KEYS[name]
+        if prune and name in FOLDERS:
+            match = F.col(key) == F.col(f"_{key}")
+            for folder, attribute in FOLDERS[name].items():
+                match = match & (F.col(folder) == F.col(attribute))
+            joined = joined.join(side.withColumnRenamed(key, f"_{key}"), match, "left")
+        else:
+            joined = joined.join(side, key, "left")
     attributes = [c for name in dims for c in warehouse.table(name).columns
                   if c not in (FOREIGN_KEYS[name], "geo_imputed")]
     measures = [c for c in fact.columns
@@ -38,8 +52,8 @@ def star_base(warehouse: Warehouse, dims=tuple(FOREIGN_KEYS), columns=None) -> D
 
 
 def register_star_view(warehouse: Warehouse, view: str = "analytics_base") -> DataFrame:
-    """The whole star as a temporary view for SQL text."""
-    base = star_base(warehouse)
+    """The whole star as a temporary view for SQL text; date filters prune the fact's folders."""
+    base = star_base(warehouse, prune=True)
     base.createOrReplaceTempView(view)
     return base
 

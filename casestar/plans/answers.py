@@ -6,8 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from casestar.config import PARTITION_COLUMNS, QuestionRules
-from casestar.operators.quality import partition_summary
+from casestar.config import QuestionRules
 from casestar.plans import questions as ask
 from casestar.plans.report import insight_rows
 from casestar.schemas import result_schema
@@ -24,7 +23,7 @@ BOUNDED = frozenset(("partition_summary", "q2_hour_day_heatmap", "q4_cyclist_inj
 def answers(warehouse: Warehouse, rules: QuestionRules = QuestionRules()) -> dict[str, DataFrame]:
     """Result name to result."""
     return {
-        "partition_summary": partition_summary(warehouse.table("fact_crash"), PARTITION_COLUMNS),
+        "partition_summary": warehouse.folders(),
         "q1_borough_fatality_rates": ask.fatality_rates(warehouse, rules),
         "q2_peak_hours_pedestrian_injuries": ask.pedestrian_peak_hours(warehouse),
         "q2_hour_day_heatmap": ask.pedestrian_heatmap(warehouse),

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casestar.config import PARTITION_COLUMNS
 from casestar.operators.facts import BROADCAST_LIMIT_BYTES
+from casestar.operators.quality import partition_summary
 from casestar.schemas import WAREHOUSE
 
 MANIFEST = T.StructType([
@@ -41,6 +43,11 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE}
 
+    def folders(self, columns=PARTITION_COLUMNS) -> DataFrame:
+        """The folders of the fact that hold rows, from the listing alone."""
+        schema = T.StructType([WAREHOUSE["fact_crash"][name] for name in columns])
+        return partition_summary(self.spark, f"{self.path}/fact_crash", schema)
+
     def audit(self) -> DataFrame:
         """What the build counted while it wrote: ``section``, ``item``, ``observed``."""
         return self.spark.read.schema(AUDIT).json(f"{self.path}/audit")
