@@ -12,7 +12,7 @@ import argparse
 from casestar.config import PARTITION_COLUMNS
 from casestar.plans.answers import publish_answers
 from casestar.plans.etl import build_warehouse
-from casestar.plans.ingest import ingest, size_shuffles
+from casestar.plans.ingest import ingest_checked, size_shuffles
 from casestar.session import get_session
 from casestar.sources.readers import read_raw_csv
 from casestar.sources.warehouse import open_warehouse
@@ -34,7 +34,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = get_session(master=options.master)
     if options.step == "land":
         size_shuffles(spark, options.source)
-        ingest(spark, options.source, options.raw_zone).show(truncate=False)
+        for table in ingest_checked(spark, options.source, options.raw_zone):
+            table.show(truncate=False)
     elif options.step == "build":
         size_shuffles(spark, options.raw_zone)
         raw = read_raw_csv(spark, options.raw_zone)

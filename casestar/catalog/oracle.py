@@ -389,6 +389,11 @@ def _oracle_sql() -> dict[str, str]:
             f"SELECT count(*) AS source_rows, {RAW_TEXT_BYTES} AS source_bytes, "
             f"count(*) AS landed_rows, {RAW_TEXT_BYTES} AS landed_bytes, true AS is_complete "
             "FROM raw", "raw"),
+        "land_raw_quoted": """
+SELECT lang, count(*) AS records, CAST(sum(length(t)) AS BIGINT) AS characters,
+ CAST(sum(length(t) - length(replace(t, '"', ''))) AS BIGINT) AS quotes,
+ CAST(sum(doc_id) AS BIGINT) AS ids, true AS is_complete
+FROM (SELECT lang, doc_id, text || ' "end", ' || source AS t FROM documents) GROUP BY lang""",
         "star_base": _with("SELECT * FROM star", "star"),
         "sql_over_view": _with(
             "SELECT is_weekend, property_damage_only, count(*) AS crashes, "

@@ -137,8 +137,23 @@ def land_raw_verify(spark: SparkSession, sf: str) -> DataFrame:
     source = fixture.scratch_path(spark, sf, "source_csv")
     zone = fixture.scratch_path(spark, sf, "landed_csv")
     writers.write_raw_csv(fixture.raw_zone(spark, sf), source)
-    landing.land_raw(spark, source, zone)
-    return landing.landing_report(spark, source, zone)
+    return landing.land_observed(spark, source, zone, "COLLISION_ID").report(spark)
+
+
+def land_raw_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as quoted records with doubled quotes and commas, landed and read back."""
+    source = fixture.scratch_path(spark, sf, "quoted_csv")
+    zone = fixture.scratch_path(spark, sf, "landed_quoted")
+    quoted = F.concat(F.translate("text", "\r\n", "  "), F.lit(' "end", '), "source")
+    fixture.given(spark, sf, "documents").select("lang", quoted.alias("text"), "doc_id").write.option(
+        "header", True).option("quoteAll", True).option("escape", '"').csv(source)
+    landed = landing.land_observed(spark, source, zone, "doc_id")
+    text = F.col("text")
+    return readers.read_raw_csv(spark, zone, ["lang", "text", "doc_id"]).groupBy("lang").agg(
+        F.count("*").alias("records"), F.sum(F.length(text)).alias("characters"),
+        F.sum(F.length(text) - F.length(F.replace(text, F.lit('"')))).alias("quotes"),
+        F.sum(F.col("doc_id").cast("long")).alias("ids"),
+        F.lit(landed.is_complete).alias("is_complete"))
 
 
 def topk_preview(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,6 +334,7 @@ def queries() -> dict[str, Query]:
         "sink_csv_roundtrip": sink_csv_roundtrip,
         "src_result_csv": src_result_csv,
         "land_raw_verify": land_raw_verify,
+        "land_raw_quoted": land_raw_quoted,
         "star_base": lambda spark, sf: star_base(fixture.warehouse(spark, sf)),
         "sql_over_view": sql_over_view,
         "sql_pruned_by_date": sql_pruned_by_date,

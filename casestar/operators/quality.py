@@ -49,11 +49,16 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def key_profile(df: DataFrame, key: str) -> DataFrame:
     """``duplicate_keys`` and the number of rows, from one pass."""
     counted = df.groupBy(F.col(f"`{key}`")).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
-        F.count_if(F.col("copies") > 1).alias("keys_with_duplicates"),
-    )
+    return counted.agg(*copies_profile("copies"))
+
+
+def copies_profile(copies: str) -> list[Column]:
+    """Rows, rows beyond the first and repeated keys, from one row per key with its copies."""
+    return [
+        F.coalesce(F.sum(copies), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.col(copies) - 1), F.lit(0)).alias("duplicate_rows"),
+        F.count_if(F.col(copies) > 1).alias("keys_with_duplicates"),
+    ]
 
 
 def file_audit(spark: SparkSession, path: str, accepted=(".csv",)) -> DataFrame:

@@ -6,7 +6,7 @@ from samples import raw_frame
 
 from casestar.__main__ import main
 from casestar.config import RAW_TO_PUBLISHED
-from casestar.plans.ingest import RejectedFile, ingest, validate_raw
+from casestar.plans.ingest import RejectedFile, ingest, ingest_checked, validate_raw
 from casestar.sources import landing, readers, writers
 from casestar.sources.warehouse import open_warehouse
 
@@ -37,6 +37,65 @@ def test_landing_keeps_every_record_over_many_files(spark, conf, tmp_path):
     assert landed.exceptAll(readers.read_raw_csv(spark, source)).count() == 0
 
 
+def test_source_is_scanned_once_for_checks_and_copy(spark, tmp_path, monkeypatch):
+    """The lines of the source are read by one full scan; the CSV reader only looks at a header."""
+    source, zone = source_csv(tmp_path / "raw.csv"), str(tmp_path / "zone")
+    scans = []
+    written = writers.write_raw_csv
+    monkeypatch.setattr(landing, "write_raw_csv", lambda df, path: (
+        scans.append(df._jdf.queryExecution().toString()), written(df, path)))
+    read = readers.read_raw_csv
+    monkeypatch.setattr(landing, "read_raw_csv", lambda spark, path, *names: (
+        scans.append(path) if path == zone else None, read(spark, path, *names))[1])
+    report, checks = ingest_checked(spark, source, zone)
+    assert len(scans) == 2 and scans[0].count("FileScan text") == 1 and scans[1] == zone
+    assert "FileScan csv" not in scans[0]
+    assert report.first().is_complete
+    found = {r.check_name: (r.observed, r.passed) for r in checks.collect()}
+    assert found == {r.check_name: (r.observed, r.passed)
+                     for r in validate_raw(spark, source).collect()}
+    assert found["rows"] == (400, True) and found["columns"] == (29, True)
+
+
+ODD = (b'id,a b,c\r\n1,"A ""X"" B, C",BRONX\r\n2,short\r\n\r\n   \r\n3,"back\\",M,too,many\r\n'
+       b'4,\xff\xfebad,x\r\n5,"open,x\r\n6,,""\r\n7," pad ", y \r"8",q"q,z"\n9,\xef\xbf\xbd,\xc3\xa9')
+
+
+@pytest.mark.parametrize("extra", [b"", b"\nid,a b,c\n1,copy,x"])
+def test_odd_lines_land_as_the_csv_reader_reads_them(spark, tmp_path, extra):
+    """Also a record that equals the header, which only the CSV reader can tell from one."""
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/1.csv").write_bytes(ODD + extra)
+    (tmp_path / "s/2.csv").write_bytes(b"id,a b,c\n")
+    (tmp_path / "s/3.csv").write_bytes(b"")
+    source, zone = str(tmp_path / "s"), str(tmp_path / "zone")
+    landed = landing.land_observed(spark, source, zone, "id")
+    wanted = readers.read_raw_csv(spark, source)
+    assert sorted(map(repr, readers.read_raw_csv(spark, zone).collect())) == sorted(
+        map(repr, wanted.collect()))
+    assert landed.is_complete and landed.source["broken_lines"] == 1
+    assert landed.source["rows"] == wanted.count() == (11 if extra else 9)
+    assert landed.landed["duplicate_rows"] == (1 if extra else 0)
+    checks = {r.check_name: r.observed for r in validate_raw(
+        spark, source, key="id").collect()}
+    assert checks["rows"] == wanted.count() and checks["lines that are not UTF-8"] == 1
+    assert checks["duplicate keys"] == (1 if extra else 0)
+
+
+def test_landing_fails_on_another_header(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/1.csv").write_text("id,a\n1,x\n2,y\n")
+    (tmp_path / "s/2.csv").write_text("a,id\nz,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.land_observed(spark, str(tmp_path / "s"), str(tmp_path / "zone"))
+
+
+def test_an_empty_file_lands_no_record(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("id,a\n")
+    landed = landing.land_observed(spark, str(tmp_path / "e.csv"), str(tmp_path / "zone"), "id")
+    assert landed.is_complete and landed.source["rows"] == landed.landed["rows"] == 0
+
+
 def test_a_changed_copy_is_noticed(spark, tmp_path):
     source = source_csv(tmp_path / "raw.csv", 5)
     changed = tmp_path / "changed.csv"
