@@ -1,8 +1,9 @@
-"""Command line: land a raw file, build a warehouse, answer the questions.
+"""Command line: land a raw file, build a warehouse, answer the questions, clean up.
 
     python -m casestar land SOURCE RAW_ZONE
     python -m casestar build RAW_ZONE WAREHOUSE
     python -m casestar answer WAREHOUSE FOLDER
+    python -m casestar sweep WAREHOUSE [--keep N] [--lease-hours H] [--dry-run]
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from casestar.plans.etl import build_warehouse
 from casestar.plans.ingest import ingest_checked, size_shuffles
 from casestar.session import get_session
 from casestar.sources.readers import read_raw_csv
+from casestar.sources.retention import LEASE_HOURS, sweep
 from casestar.sources.warehouse import open_warehouse
 
 
@@ -30,6 +32,11 @@ def main(arguments: list[str] | None = None) -> None:
         if step == "build":
             command.add_argument("--flat", action="store_true", help="do not partition the fact")
             command.add_argument("--audit", action="store_true", help="show what the build counted")
+    command = steps.add_parser("sweep", help="remove versions that nobody can open any more")
+    command.add_argument("source", metavar="warehouse")
+    command.add_argument("--keep", type=int, default=1, help="published versions that stay")
+    command.add_argument("--lease-hours", type=float, default=LEASE_HOURS)
+    command.add_argument("--dry-run", action="store_true")
     options = parser.parse_args(arguments)
     spark = get_session(master=options.master)
     if options.step == "land":
@@ -43,6 +50,10 @@ def main(arguments: list[str] | None = None) -> None:
                                 partition_by=() if options.flat else PARTITION_COLUMNS)
         if options.audit:
             built.audit().show(100, truncate=False)
+    elif options.step == "sweep":
+        for item in sweep(spark, options.source, options.keep, options.lease_hours,
+                          options.dry_run):
+            print(f"{item.path}: {item.reason}")
     else:
         publish_answers(open_warehouse(spark, options.warehouse), options.folder)
 

@@ -483,6 +483,14 @@ FROM (SELECT lang, doc_id, text || ' "end", ' || source AS t FROM documents) GRO
         "fact_integrity_gate": _with(GATE, "integrity"),
         "partition_summary": _with(
             "SELECT DISTINCT partition_year, partition_month FROM fact", "fact"),
+        "order_check": _with(" UNION ALL ".join(
+            f"SELECT '{name}' AS query, count(*) AS row_count, CAST(0 AS BIGINT) AS violations "
+            f"FROM {source}" for name, source in (
+                ("q1_rate_rank", "rates"), ("q2_peak_hours", "peaks"), ("q2_heatmap", "heat"),
+                ("q3_severity", "severity"), ("q4_monthly_lag", "months"),
+                ("q4_period_summary", "(SELECT DISTINCT period FROM months)"),
+                ("q5_factor_rank", "factors"))),
+            "rates", "peaks", "heat", "severity", "months", "factors"),
         # cleaning
         "clean_drop_blank_id": _with("SELECT collision_id, crash_date, crash_time FROM keyed", "keyed"),
         "clean_dedup": _with(f"SELECT {raw_row} FROM uniq", "uniq"),

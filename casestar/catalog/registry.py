@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from casestar.config import COUNT_COLUMNS, RAW_TO_PUBLISHED, CleanRules, RawColu
 from casestar.operators import clean as C
 from casestar.operators import quality as Q
 from casestar.operators.facts import build_fact, fact_base
+from casestar.operators.ordering import order_violations
 from casestar.operators.rollup import FOREIGN_KEYS, register_star_view, star_base
 from casestar.operators.windows import highlight, pick, top_k
 from casestar.plans import audit, etl, sql
@@ -324,6 +326,38 @@ def report_insights(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
+# the order in which a registered query promises its rows; a minus means descending
+_PEAKS = ["-total_pedestrian_injuries", "hour", "day_of_week", "contributing_factor"]
+ORDERS = {
+    "agg_count_by_group": ["-total_crashes", "borough"],
+    "q1_rate_rank": ["borough", "year"],
+    "q2_peak_hours": _PEAKS,
+    "q2_heatmap": ["day_of_week", "hour"],
+    "q3_severity": ["-crash_count", "borough", "vehicle_type_1", "crash_severity"],
+    "q4_monthly_lag": ["year", "month"],
+    "q4_period_summary": ["period"],
+    "q5_factor_rank": ["-crash_count", "contributing_factor", "time_of_day"],
+    "partition_summary": ["partition_year", "partition_month"],
+    "topk_preview": _PEAKS,
+    "dash_top10_rates": [f"-{show.RATE}"],
+    "dash_ped_by_hour": ["hour"],
+    "dash_year_ticks": ["year"],
+    "dash_cyclist_by_year": ["year"],
+    "sql_pruned_by_date": ["borough", "severity"],
+}
+ORDERS |= {f"sql_{name}": order for name, order in ORDERS.items()
+           if name.startswith(("agg_", "q"))}
+
+
+def order_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the ordered questions, and how many of them are out of order: none."""
+    asked = queries()
+    found = [order_violations(asked[name](spark, sf), ORDERS[name])
+             .select(F.lit(name).alias("query"), "*")
+             for name in ORDERS if name.startswith("q")]
+    return reduce(DataFrame.unionByName, found)
+
+
 def queries() -> dict[str, Query]:
     return {
         "src_csv_all_string": src_csv_all_string,
@@ -361,6 +395,7 @@ def queries() -> dict[str, Query]:
         "fact_integrity": _integrity,
         "fact_integrity_gate": fact_integrity_gate,
         "partition_summary": partition_summary,
+        "order_check": order_check,
         "clean_drop_blank_id": clean_drop_blank_id,
         "clean_dedup": _unique,
         "clean_cast_coords": clean_cast_coords,

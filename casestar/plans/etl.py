@@ -44,6 +44,7 @@ from casestar.operators.quality import (
     integrity_row,
     keys_agree,
 )
+from casestar.sources.retention import VERSION_PREFIX, drop_lease, take_lease
 from casestar.sources.warehouse import AUDIT, Warehouse, publish
 from casestar.sources.writers import rebalanced, staged, write_table
 
@@ -143,7 +144,16 @@ def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
     Every job that follows reads these tables, so a lost executor costs a re-read and all
     jobs see the same survivors and the same keys.
     """
-    path = f"{root}/v-{uuid.uuid4().hex}"
+    spark, version = raw.sparkSession, f"{VERSION_PREFIX}{uuid.uuid4().hex}"
+    take_lease(spark, root, version)
+    try:
+        return _stage(raw, f"{root}/{version}", columns, rules)
+    except BaseException:
+        drop_lease(spark, root, version)
+        raise
+
+
+def _stage(raw: DataFrame, path: str, columns: RawColumns, rules: CleanRules) -> StagedStar:
     watch = Watch(raw.sparkSession)
     with watch.running():
         clean = staged(clean_records(raw, columns, rules, watch), f"{path}/_stage/clean")
@@ -184,6 +194,18 @@ def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
     ``partition_by=()`` writes the fact unpartitioned. ``broadcast`` names the dimensions that
     may be broadcast; each still has to pass the check of its measured size.
     """
+    spark, version = star.clean.sparkSession, star.path.rsplit("/", 1)[-1]
+    take_lease(spark, root, version)
+    try:
+        published = _gated(star, partition_by, broadcast)
+        publish(published, root, version, time.time_ns())
+    finally:
+        drop_lease(spark, root, version)
+    return published
+
+
+def _gated(star: StagedStar, partition_by, broadcast) -> Warehouse:
+    """The fact written and checked, with the audit beside it."""
     spark = star.clean.sparkSession
     watch = Watch(spark)
     metrics = fact_metrics("collision_id", FOREIGN_KEY_ORDER)
@@ -208,10 +230,8 @@ def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
     write_audit(spark, star.path, found, observed, rows)
     gate(observed, "collision_id", FOREIGN_KEY_ORDER)
 
-    published = Warehouse(spark, star.path, rows=rows, payload_bytes={
+    return Warehouse(spark, star.path, rows=rows, payload_bytes={
         n: k.payload_bytes for n, k in star.keyed.items()})
-    publish(published, root, star.path.rsplit("/", 1)[-1], time.time_ns())
-    return published
 
 
 def write_audit(spark: SparkSession, path: str, counts: dict[str, int],

@@ -15,11 +15,6 @@ from casestar.sources.readers import read_raw_csv
 from casestar.sources.writers import write_raw_csv
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with every byte but the line feed, for audits of a raw file."""
-    return spark.read.option("lineSep", "\n").text(path)
-
-
 def land_raw(spark: SparkSession, source: str, raw_zone: str) -> None:
     """Copy the records, replacing what the raw zone held.
 
