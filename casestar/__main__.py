@@ -31,6 +31,8 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument(target)
         if step == "build":
             command.add_argument("--flat", action="store_true", help="do not partition the fact")
+            command.add_argument("--keep-keys", action="store_true",
+                                 help="take dimension keys over from the readable version")
             command.add_argument("--audit", action="store_true", help="show what the build counted")
     command = steps.add_parser("sweep", help="remove versions that nobody can open any more")
     command.add_argument("source", metavar="warehouse")
@@ -47,7 +49,8 @@ def main(arguments: list[str] | None = None) -> None:
         size_shuffles(spark, options.raw_zone)
         raw = read_raw_csv(spark, options.raw_zone)
         built = build_warehouse(spark, raw, options.warehouse,
-                                partition_by=() if options.flat else PARTITION_COLUMNS)
+                                partition_by=() if options.flat else PARTITION_COLUMNS,
+                                keep_keys=options.keep_keys)
         if options.audit:
             built.audit().show(100, truncate=False)
     elif options.step == "sweep":

@@ -117,6 +117,15 @@ SELECT row_number() OVER (ORDER BY crash_date, j_crash_time) AS date_key, crash_
    dayofweek(crash_date) IN (0, 6) AS is_weekend
 FROM clean GROUP BY crash_date, j_crash_time"""
 
+LOCATION_VALUES = """min(borough) AS borough, min(zip_code) AS zip_code,
+   min(on_street_name) AS on_street_name, min(latitude) AS latitude, min(longitude) AS longitude,
+   false AS geo_imputed"""
+
+FIRST_SEEN = f"""
+SELECT *, partition_year < 1997 AS is_old,
+   bool_or(partition_year < 1997) OVER (PARTITION BY {J_LOCATION}) AS known
+FROM clean"""
+
 D_LOCATION = f"""
 SELECT row_number() OVER (ORDER BY {J_LOCATION}) AS location_key, {J_LOCATION},
    min(borough) AS borough, min(zip_code) AS zip_code, min(on_street_name) AS on_street_name,
@@ -225,6 +234,7 @@ STEPS = {
     "clean": (CLEAN, ("dated",)),
     "d_date": (D_DATE, ("clean",)),
     "d_location": (D_LOCATION, ("clean",)),
+    "first_seen": (FIRST_SEEN, ("clean",)),
     "d_vehicle": (_text_dimension("vehicle_key", VEHICLE_COLUMNS), ("clean",)),
     "d_factor": (_text_dimension("factor_key", FACTOR_COLUMNS), ("clean",)),
     "fact": (FACT, ("clean", "d_date", "d_location", "d_vehicle", "d_factor")),
@@ -483,6 +493,13 @@ FROM (SELECT lang, doc_id, text || ' "end", ' || source AS t FROM documents) GRO
         "fact_integrity_gate": _with(GATE, "integrity"),
         "partition_summary": _with(
             "SELECT DISTINCT partition_year, partition_month FROM fact", "fact"),
+        "dim_location_rebuilt": _with(f"""
+SELECT row_number() OVER (ORDER BY {J_LOCATION}) AS location_key, {LOCATION_VALUES}
+FROM first_seen WHERE is_old GROUP BY {J_LOCATION}
+UNION ALL
+SELECT row_number() OVER (ORDER BY {J_LOCATION}) + (
+  SELECT count(DISTINCT ({J_LOCATION})) FROM first_seen WHERE is_old), {LOCATION_VALUES}
+FROM first_seen WHERE NOT known GROUP BY {J_LOCATION}""", "first_seen"),
         "order_check": _with(" UNION ALL ".join(
             f"SELECT '{name}' AS query, count(*) AS row_count, CAST(0 AS BIGINT) AS violations "
             f"FROM {source}" for name, source in (

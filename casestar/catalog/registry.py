@@ -14,6 +14,11 @@ from casestar.catalog.fixture import RULES
 from casestar.config import COUNT_COLUMNS, RAW_TO_PUBLISHED, CleanRules, RawColumns
 from casestar.operators import clean as C
 from casestar.operators import quality as Q
+from casestar.operators.dimensions import (
+    PublishedDimension,
+    build_dimension,
+    published_dimension,
+)
 from casestar.operators.facts import build_fact, fact_base
 from casestar.operators.ordering import order_violations
 from casestar.operators.rollup import FOREIGN_KEYS, register_star_view, star_base
@@ -300,6 +305,20 @@ def dim_surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return first
 
 
+def dim_location_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
+    """The locations of a first delivery, numbered, then of all records: old keys stay."""
+    star = fixture.star(spark, sf)
+    dim = star.dims["dim_location"]
+    first = build_dimension(star.clean.where(F.col("partition_year") < 1997), dim,
+                            fixture.scratch_path(spark, sf, "first_locations"))
+    published = PublishedDimension(writers.staged(
+        published_dimension(first.frame, dim), fixture.scratch_path(spark, sf, "locations")),
+        first.payload_bytes)
+    again = build_dimension(star.clean, dim, fixture.scratch_path(spark, sf, "all_locations"),
+                            previous=published)
+    return published_dimension(again.frame, dim)
+
+
 def join_null_safe(spark: SparkSession, sf: str) -> DataFrame:
     star = fixture.star(spark, sf)
     location = {"dim_location": star.dims["dim_location"]}
@@ -412,6 +431,7 @@ def queries() -> dict[str, Query]:
         "dim_vehicle": _table("dim_vehicle"),
         "dim_factor": _table("dim_factor"),
         "dim_surrogate_keys": dim_surrogate_keys,
+        "dim_location_rebuilt": dim_location_rebuilt,
         "fact_base": lambda spark, sf: fixture.star(spark, sf).base(),
         "fact_build": lambda spark, sf: fixture.star(spark, sf).fact(),
         "fact_build_broadcast": lambda spark, sf: fixture.star(spark, sf).fact(etl.ALL_DIMENSIONS),

@@ -94,10 +94,26 @@ def standard_dimensions(rules: CleanRules) -> dict[str, Dimension]:
     return {d.name: d for d in (date, location, vehicle, factor)}
 
 
+@dataclass(frozen=True)
+class PublishedDimension:
+    """A dimension as an earlier build published it, and its measured size."""
+
+    frame: DataFrame
+    payload_bytes: int
+
+    def is_broadcast(self, limit: int) -> bool:
+        return self.payload_bytes <= limit
+
+
 def build_dimension(clean: DataFrame, dim: Dimension, stage_path: str,
-                    null_safe: bool = False) -> KeyedTable:
+                    null_safe: bool = False, previous: PublishedDimension | None = None,
+                    broadcast_limit: int = 0) -> KeyedTable:
     """Rows of one dimension with a dense key, still carrying the natural-key columns.
 
+    With ``previous`` its rows stay as they were published, keys and spellings, whether or not
+    they still occur; only natural keys that it does not have are numbered, after its largest key
+    and in their own order.
+
     The distinct comes first: it hashes, combines in the map tasks and leaves one row per
     spelling, however often the hottest one occurs. The minimum over text then sorts only
     those few. Range partitioning serves both that grouping and the numbering.
@@ -105,9 +121,23 @@ def build_dimension(clean: DataFrame, dim: Dimension, stage_path: str,
     variants = clean.select(*dim.sources()).distinct()
     naturals = dim.natural_names
     chosen = [name for name in dim.attributes if name not in naturals]
-    spread = variants.select(*dim.natural_columns(null_safe), *chosen).repartitionByRange(*naturals)
-    grouped = spread.groupBy(*naturals).agg(*[F.min(name).alias(name) for name in chosen])
-    return number_ranged(grouped, naturals, dim.key, stage_path)
+    found = variants.select(*dim.natural_columns(null_safe), *chosen)
+    if previous is not None:
+        if null_safe:
+            raise ValueError("published rows are matched on keys with placeholders")
+        old = previous.frame.select(dim.key, *dim.natural_columns(), *chosen)
+        known = old.select(*naturals)
+        found = found.join(F.broadcast(known) if previous.is_broadcast(broadcast_limit) else known,
+                           naturals, "left_anti")
+    grouped = found.repartitionByRange(*naturals).groupBy(*naturals).agg(
+        *[F.min(name).alias(name) for name in chosen])
+    added = number_ranged(grouped, naturals, dim.key, stage_path)
+    if previous is None:
+        return added
+    last, rows = old.agg(F.coalesce(F.max(dim.key), F.lit(0)), F.count(F.lit(1))).first()
+    shifted = added.frame.withColumn(dim.key, F.col(dim.key) + last)
+    return KeyedTable(old.unionByName(shifted.select(*old.columns)), rows + added.rows,
+                      previous.payload_bytes + added.payload_bytes)
 
 
 def published_dimension(keyed: DataFrame, dim: Dimension) -> DataFrame:

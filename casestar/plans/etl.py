@@ -31,7 +31,7 @@ from casestar.operators.dimensions import (
     published_dimension,
     standard_dimensions,
 )
-from casestar.operators.facts import build_fact, fact_base
+from casestar.operators.facts import BROADCAST_LIMIT_BYTES, build_fact, fact_base
 from casestar.operators.keys import KeyedTable
 from casestar.operators.observed import Watch, row_count, watched
 from casestar.operators.quality import (
@@ -45,7 +45,7 @@ from casestar.operators.quality import (
     keys_agree,
 )
 from casestar.sources.retention import VERSION_PREFIX, drop_lease, take_lease
-from casestar.sources.warehouse import AUDIT, Warehouse, publish
+from casestar.sources.warehouse import AUDIT, Warehouse, latest_warehouse, publish
 from casestar.sources.writers import rebalanced, staged, write_table
 
 COORDINATES = ["latitude", "longitude"]
@@ -132,13 +132,22 @@ class StagedStar:
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str,
                     columns: RawColumns = RawColumns(), rules: CleanRules = CleanRules(),
-                    partition_by=PARTITION_COLUMNS, broadcast=ALL_DIMENSIONS) -> Warehouse:
-    """Build, check and publish a new version of the warehouse under ``root``."""
-    return publish_star(stage_star(raw, root, columns, rules), root, partition_by, broadcast)
+                    partition_by=PARTITION_COLUMNS, broadcast=ALL_DIMENSIONS,
+                    keep_keys: bool = False) -> Warehouse:
+    """Build, check and publish a new version of the warehouse under ``root``.
+
+    ``keep_keys`` takes the rows and keys of the dimensions over from the version that is
+    readable now, if there is one, and only adds what is new. Keys that left the warehouse stay
+    valid across such builds.
+    """
+    previous = latest_warehouse(spark, root) if keep_keys else None
+    return publish_star(stage_star(raw, root, columns, rules, previous), root, partition_by,
+                        broadcast)
 
 
 def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
-               rules: CleanRules = CleanRules()) -> StagedStar:
+               rules: CleanRules = CleanRules(),
+               previous: Warehouse | None = None) -> StagedStar:
     """Write the cleaned table and the dimensions of a new version.
 
     Every job that follows reads these tables, so a lost executor costs a re-read and all
@@ -147,13 +156,14 @@ def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
     spark, version = raw.sparkSession, f"{VERSION_PREFIX}{uuid.uuid4().hex}"
     take_lease(spark, root, version)
     try:
-        return _stage(raw, f"{root}/{version}", columns, rules)
+        return _stage(raw, f"{root}/{version}", columns, rules, previous)
     except BaseException:
         drop_lease(spark, root, version)
         raise
 
 
-def _stage(raw: DataFrame, path: str, columns: RawColumns, rules: CleanRules) -> StagedStar:
+def _stage(raw: DataFrame, path: str, columns: RawColumns, rules: CleanRules,
+           previous: Warehouse | None) -> StagedStar:
     watch = Watch(raw.sparkSession)
     with watch.running():
         clean = staged(clean_records(raw, columns, rules, watch), f"{path}/_stage/clean")
@@ -162,7 +172,8 @@ def _stage(raw: DataFrame, path: str, columns: RawColumns, rules: CleanRules) ->
         counts |= count_keyed(raw, columns)
     check_ids(clean)
     dims = standard_dimensions(rules)
-    return StagedStar(path, clean, dims, build_dimensions(clean, dims, path), counts)
+    return StagedStar(path, clean, dims, build_dimensions(clean, dims, path, previous),
+                      counts)
 
 
 def count_keyed(raw: DataFrame, columns: RawColumns) -> dict[str, int]:
@@ -251,10 +262,13 @@ def write_audit(spark: SparkSession, path: str, counts: dict[str, int],
     spark.createDataFrame(audit, AUDIT).coalesce(1).write.mode("overwrite").json(f"{path}/audit")
 
 
-def build_dimensions(clean: DataFrame, dims, path: str) -> dict[str, KeyedTable]:
+def build_dimensions(clean: DataFrame, dims, path: str,
+                     previous: Warehouse | None = None) -> dict[str, KeyedTable]:
     """All dimensions, staged and written. They are independent, so their jobs run side by side."""
     def build(dim) -> KeyedTable:
-        table = build_dimension(clean, dim, f"{path}/_stage/{dim.name}")
+        table = build_dimension(clean, dim, f"{path}/_stage/{dim.name}",
+                                previous=previous and previous.dimension(dim.name),
+                                broadcast_limit=BROADCAST_LIMIT_BYTES)
         write_table(published_dimension(table.frame, dim), f"{path}/{dim.name}")
         return table
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casestar.config import PARTITION_COLUMNS
+from casestar.operators.dimensions import PublishedDimension
 from casestar.operators.facts import BROADCAST_LIMIT_BYTES
 from casestar.operators.quality import partition_summary
 from casestar.schemas import WAREHOUSE
@@ -43,6 +44,10 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE}
 
+    def dimension(self, name: str) -> PublishedDimension:
+        return PublishedDimension(self.table(name),
+                                  self.payload_bytes.get(name, self.broadcast_limit + 1))
+
     def folders(self, columns=PARTITION_COLUMNS) -> DataFrame:
         """The folders of the fact that hold rows, from the listing alone."""
         schema = T.StructType([WAREHOUSE["fact_crash"][name] for name in columns])
@@ -72,6 +77,14 @@ def publish(warehouse: Warehouse, root: str, version: str, published_at: int) ->
      .write.mode("append").json(f"{root}/manifest"))
 
 
+def latest_warehouse(spark: SparkSession, root: str) -> Warehouse | None:
+    """The version published last, or None before the first one."""
+    try:
+        return open_warehouse(spark, root)
+    except FileNotFoundError:
+        return None
+
+
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """The version published last under ``root``."""
     try:

@@ -121,3 +121,38 @@ def test_unmeasured_tables_are_not_broadcast(spark):
     assert warehouse.fits_broadcast("dim_factor")
     assert not warehouse.fits_broadcast("fact_crash")
     assert not fits_broadcast(KeyedTable(None, 1, 10), limit=9)
+
+
+def test_a_rebuild_keeps_the_keys_it_published(spark, tmp_path):
+    root = str(tmp_path)
+    first = build_warehouse(spark, raw_frame(
+        spark, {"borough": "M"}, {"borough": " Z"}, {"borough": None, "crash_time": None}), root,
+        keep_keys=True)
+    # A comes before M and Z, an earlier spelling of Z turns up, the null borough is gone
+    more = raw_frame(spark, {"borough": "A"}, {"borough": "  Z"}, {"borough": "M"},
+                     {"borough": "Q", "crash_date": "01/01/1999"})
+    second = build_warehouse(spark, more, root, keep_keys=True)
+    for name, key in FOREIGN_KEYS.items():
+        old = rows(first.table(name))
+        assert set(old) <= set(rows(second.table(name))), name
+        keys = sorted(r[key] for r in second.table(name).select(key).collect())
+        assert keys == list(range(1, second.rows[name] + 1)), name
+    places = {r.borough: r.location_key for r in second.table("dim_location").collect()}
+    assert places == {"M": 1, None: 2, " Z": 3, "A": 4, "Q": 5}
+    found = {r.collision_id: (r.location_key, r.borough) for r in star_base(
+        second, ["dim_location"], ["collision_id", "location_key", "borough"]).collect()}
+    assert found == {1: (4, "A"), 2: (3, " Z"), 3: (1, "M"), 4: (5, "Q")}
+    assert second.payload_bytes["dim_location"] > first.payload_bytes["dim_location"]
+    # without the option the keys follow the data alone
+    fresh = build_warehouse(spark, more, root)
+    assert {r.borough: r.location_key for r in fresh.table("dim_location").collect()} == {
+        "A": 1, "M": 2, "Q": 3, "  Z": 4}
+
+
+def test_a_rebuild_of_the_same_records_changes_no_key(spark, conf, tmp_path):
+    raw = fixture.raw_zone(spark, SF)
+    first = build_warehouse(spark, raw, str(tmp_path), keep_keys=True)
+    conf("spark.sql.shuffle.partitions", "3")
+    second = build_warehouse(spark, raw.repartition(5), str(tmp_path), keep_keys=True)
+    for name in WAREHOUSE:
+        assert rows(first.table(name)) == rows(second.table(name)), name
