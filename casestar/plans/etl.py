@@ -31,7 +31,13 @@ from casestar.operators.dimensions import (
     published_dimension,
     standard_dimensions,
 )
-from casestar.operators.facts import BROADCAST_LIMIT_BYTES, build_fact, fact_base
+from casestar.operators.facts import (
+    BROADCAST_LIMIT_BYTES,
+    build_fact,
+    fact_base,
+    fits_broadcast,
+    hot_natural_keys,
+)
 from casestar.operators.keys import KeyedTable
 from casestar.operators.observed import Watch, row_count, watched
 from casestar.operators.quality import (
@@ -127,7 +133,13 @@ class StagedStar:
         return fact_base(self.clean, self.dims.values())
 
     def fact(self, broadcast=()) -> DataFrame:
-        return build_fact(self.base(), self.dims, self.keyed, broadcast=broadcast)
+        """The fact; hot natural keys of the dimensions that are not broadcast are looked up
+        first, in one pass over the columns of those keys."""
+        shuffled = [name for name in self.dims
+                    if name not in broadcast or not fits_broadcast(self.keyed[name])]
+        base = self.base()
+        return build_fact(base, self.dims, self.keyed, broadcast=broadcast,
+                          hot=hot_natural_keys(base, self.dims, shuffled))
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str,

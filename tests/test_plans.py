@@ -8,7 +8,9 @@ from samples import DEFAULTS
 from casestar.catalog import fixture
 from casestar.catalog.fixture import RULES
 from casestar.config import RAW_TO_PUBLISHED
+from casestar.operators.facts import build_fact, hot_natural_keys
 from casestar.operators.quality import step_audit
+from casestar.operators.skew import hot_hashes
 from casestar.plans import etl
 from casestar.plans import questions as ask
 from casestar.plans.ingest import size_shuffles
@@ -77,9 +79,10 @@ def test_a_hot_natural_key_is_split_in_the_fact_join(spark, conf, tmp_path):
         "ZIP CODE": F.when(F.col("id") % 3 > 0, F.col("id").cast("string")),
     }).drop("id")
     star = etl.stage_star(raw, str(tmp_path))
-    found = star.fact()
+    found = build_fact(star.base(), star.dims, star.keyed)  # hot keys not looked up
     rows = found.collect()
     assert "SortMergeJoin(skew=true)" in plan(found)
+    assert sorted(rows) == sorted(star.fact().collect())
     assert len(rows) == len({r.collision_id for r in rows}) == 60_000
     assert len({r.location_key for r in rows}) == 40_001
 
@@ -142,3 +145,49 @@ def test_step_audit_reads_key_and_date_only(spark, tmp_path):
                           "id string, day string, hour string, street string").write.parquet(path)
     text = plan(step_audit(spark.read.parquet(path), "id", "day", "MM/dd/yyyy"))
     assert "ReadSchema: struct<id:string,day:string>" in text
+
+
+def half_hot(spark, rows=40_000):
+    """Half of the records share one location; the zip of the others is their id."""
+    raw = spark.range(0, rows, 1, 8).select(*[F.lit(DEFAULTS.get(name)).cast("string").alias(name)
+                                              for name in RAW_TO_PUBLISHED], "id")
+    return raw.withColumns({
+        "COLLISION_ID": F.col("id").cast("string"),
+        "ZIP CODE": F.when(F.col("id") % 2 > 0, F.col("id").cast("string")),
+    }).drop("id")
+
+
+def test_hot_natural_keys_are_spread_without_the_adaptive_planner(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.shuffle.partitions", "16")
+    star = etl.stage_star(half_hot(spark), str(tmp_path))
+    base = star.base()
+    location = {"dim_location": star.dims["dim_location"]}
+    hot = hot_natural_keys(base, location, location)
+    assert len(hot["dim_location"]) == 1
+
+    def tasks(**options):
+        fact = build_fact(base, location, star.keyed, columns=["collision_id", "location_key"],
+                          **options)
+        assert "SortMergeJoin" in plan(fact)
+        sizes = [r["n"] for r in fact.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("*").alias("n")).collect()]
+        return fact, sorted(sizes)
+
+    uneven, sizes = tasks()
+    assert sizes[-1] > 10 * sizes[len(sizes) // 2]
+    even, sizes = tasks(hot=hot)
+    assert len(sizes) == 16 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    assert even.exceptAll(uneven).count() == 0 and even.count() == 40_000
+
+
+def test_hot_key_summary_misses_none_and_is_bounded(spark):
+    frame = spark.range(100_000).select(F.when(F.col("id") % 10 < 3, "hot").when(
+        F.col("id") % 10 < 5, F.lit(None)).otherwise(F.col("id").cast("string")).alias("a"))
+    found = hot_hashes(frame, {"x": ["a"]}, 0.1)["x"]
+    wanted = {r.h for r in frame.where("a is null or a = 'hot'").select(
+        F.xxhash64("a").alias("h")).distinct().collect()}
+    assert set(found) == wanted
+    assert hot_hashes(frame.limit(0), {"x": ["a"]}, 0.1) == {"x": []}
+    assert hot_hashes(frame, {}, 0.1) == {}
