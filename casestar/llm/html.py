@@ -267,6 +267,8 @@ def template_lines(pages: DataFrame) -> DataFrame:
                 for k, (_, other) in enumerate(group):
                     if k != i:
                         hit |= shared_lines(mine, other)
+                if hit.all():  # another address of the same page, or a part of the other page
+                    hit[:] = False
                 out.append((page, np.flatnonzero(hit).tolist()))
             return pa.RecordBatch.from_arrays(
                 [pa.array([p for p, _ in out], type=page_type),
@@ -304,7 +306,8 @@ def extracted(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``url``, ``text`` and ``n_chars``.
 
     A null or empty page has the empty text. Pages whose host is unknown or has no other page
-    are read without differencing, and so are rows without an id. Rows that repeat get the same
+    are read without differencing, and so are rows without an id and pages all of whose lines are
+    shared with the nearest one (copies): differencing never deletes a whole page. Rows that repeat get the same
     text each. Other columns are ignored.
     """
     base = pages.select("page_id", "url", "html")

@@ -54,19 +54,25 @@ def differenced(sizes: list[int], shards: int) -> list[int]:
     return placed
 
 
-def balanced_shards(docs: DataFrame, shards: int = 24, items: int = 32_768) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = 24, items: int = 32_768,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``size`` (UTF-8 bytes of the text plus 8; a null
     text has none), ``text_crc32`` (of a null text: 0), ``shard`` and ``slot``, the row's place
-    in its shard without gaps.
+    in its shard without gaps; and the columns of ``docs`` in ``keep``, each with its own row.
 
     Equal texts share a shard, null texts too. Rows that repeat take a slot each. Null ids sort
-    first. Other columns are ignored.
+    first. Other columns are ignored. Kept columns are joined back by a row number at the end,
+    so they are shuffled once.
     """
     text = F.col("text").cast("binary")
     rows = staged(docs.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long")
         .alias("size"), F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_group")), "sized")
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_group"),
+        F.monotonically_increasing_id().alias("_row"),
+        *[F.col(f"`{name}`").alias(f"_keep_{name}") for name in keep]), "sized")
+    kept = rows.select("_row", *[F.col(f"_keep_{name}").alias(name) for name in keep])
+    rows = rows.drop(*[f"_keep_{name}" for name in keep])
     groups = rows.groupBy("_group").agg(F.sum("size").alias("_bytes"))
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     item = F.when(F.col("_bytes") * items >= F.lit(total).cast("decimal(38,0)"),
@@ -90,7 +96,10 @@ def balanced_shards(docs: DataFrame, shards: int = 24, items: int = 32_768) -> D
     by_group = grouped.join(
         F.broadcast(placed), (F.col("_item.own") == F.col("own"))
         & (F.col("_item.key") == F.col("key"))).select("_group", "shard")
-    sharded = rows.join(by_group, "_group").select("doc_id", "size", "text_crc32", "shard",
+    sharded = rows.join(by_group, "_group").select("doc_id", "size", "text_crc32", "shard", "_row",
                                                    F.lit(1).alias("_one"))
-    return running_start(sharded, ["shard"], ["doc_id", "text_crc32", "size"], "_one",
-                         "slot").drop("_one")
+    placed_rows = running_start(sharded, ["shard"], ["doc_id", "text_crc32", "size", "_row"],
+                                "_one", "slot").drop("_one")
+    if keep:
+        placed_rows = placed_rows.join(kept, "_row")
+    return placed_rows.drop("_row")

@@ -180,6 +180,9 @@ def links(prints: DataFrame, blocks: int = 6, max_bits: int = 4,
             .mapInArrow(compared, "a long, b long").distinct())
 
 
+SALTS = 16
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
                     blocks: int = 6) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the smallest
@@ -192,10 +195,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
     each = staged(fingerprints(docs, shingle), "fingerprints")
     prints = staged(each.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
     roots = components(links(prints.select("fp"), blocks, max_bits), "a", "b", "links")
-    named = (prints.join(roots, prints["fp"] == roots["node"], "left")
-             .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = named.join(first, "root").select("fp", "component_id")
+    named = staged(prints.join(roots, prints["fp"] == roots["node"], "left")
+                   .select("fp", "first_id", "root"), "rooted")
+    alone = named.where("root is null").select("fp", F.col("first_id").alias("component_id"))
+    # the prints of a component, which may be a third of all, meet its smallest id in SALTS parts
+    linked = named.where("root is not null").withColumn(
+        "part", F.pmod(F.xxhash64("fp", F.lit(2)), F.lit(SALTS)).cast("int"))
+    first = (linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    labels = (linked.join(first, ["root", "part"]).select("fp", "component_id")
+              .unionByName(alone))
     return each.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 

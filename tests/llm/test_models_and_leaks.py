@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import zlib
+from collections import Counter
 
 import pytest
 from corpus_samples import frame, messy_rows, prose
@@ -105,7 +107,7 @@ def test_co_training_on_messy_and_empty_tables(spark, messy, nothing):
 
 def test_every_operator_is_registered():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(driver.queries())
 
 
@@ -129,7 +131,28 @@ def test_pipeline_stages(spark):
             left = [r["fp"] & (1 << 64) - 1 for r in simhash.fingerprints(docs).collect()]
             assert all((a ^ b).bit_count() > 4 for i, a in enumerate(left) for b in left[:i])
         before = set(ids)
-    assert corpus_pipeline.run(spark, SMALL).count() == len(ids)
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    assert len(rows) == len(ids)
+    # each row carries its own text, and the slots of a shard have no gap
+    assert all(zlib.crc32((r["text"] or "").encode()) == r["text_crc32"] for r in rows)
+    for shard in {r["shard"] for r in rows}:
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_pipeline_on_the_messy_table(spark, messy):
+    """Nulls, copies, rows without an id and clashing columns go through all stages."""
+    docs, given = messy, messy_rows()
+    texts = Counter(r[1] for r in given)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+        if name != "sharding":
+            assert docs.columns == messy.columns
+        left = Counter(r["text"] for r in docs.collect())
+        assert set(left) <= set(texts)
+        if name == "simhash_near_dedup":
+            assert max(left.values()) == 1
+    assert docs.count() == sum(left.values()) > 20
 
 
 def test_pipeline_on_an_empty_table(spark, nothing):

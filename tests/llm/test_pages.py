@@ -66,6 +66,28 @@ def test_template_of_undeclared_pages_goes(spark):
     assert html.extracted(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_a_copy_is_never_deleted_whole(spark):
+    """Two addresses of one undeclared article, and a page that is a part of another."""
+    article = "<html><body><p>The one article.</p><p>Its end.</p></body></html>"
+    longer = article.replace("</body>", "<p>An addendum.</p></body>")
+    rows = [(1, "http://a.org/a/1", article), (2, "http://a.org/a/1?ref=x", article),
+            (3, "http://b.org/x", article), (4, "http://b.org/y", longer)]
+    text = {r["page_id"]: r["text"] for r in html.extracted(frame(spark, rows, PAGES)).collect()}
+    assert text[1] == text[2] == text[3] == "The one article.\n\nIts end."
+    assert text[4] == "An addendum."  # what it shares with its neighbour goes
+
+
+def test_very_long_pages_and_equally_near_addresses(spark):
+    body = "".join(f"<p>Paragraph {n} of a long page.</p>" for n in range(4000))
+    rows = [(i, "http://a.org/same", f"<body><div>Menu here</div><p>Page {i}</p>{body if i == 2 else ''}"
+             "<div>Foot</div></body>") for i in range(4)]
+    found = [html.extracted(frame(spark, rows, PAGES)).collect() for _ in range(2)]
+    texts = [{r["page_id"]: r["text"] for r in rows} for rows in found]
+    assert texts[0] == texts[1]
+    assert all("Menu" not in t and t.startswith(f"Page {i}") for i, t in texts[0].items())
+    assert texts[0][2].count("Paragraph") == 4000
+
+
 def archive(version: int, records: list[tuple[str, bytes]]) -> bytes:
     more = "200 - - 0 - " if version == 2 else ""
     block = f"{version} 0 x\n{warc.ARC_FIELDS[version]}\n".encode()

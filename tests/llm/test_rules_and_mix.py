@@ -143,6 +143,47 @@ def test_shards(messy, nothing):
     assert sharding.balanced_shards(nothing).count() == 0
 
 
+def test_kept_columns_stay_with_their_rows(messy, nothing):
+    found = sharding.balanced_shards(messy, shards=4, keep=("text", "source", "_kept")).collect()
+    assert Counter((r["doc_id"], r["text"], r["source"], r["_kept"]) for r in found) == Counter(
+        (r[0], r[1], r[3], "x") for r in messy_rows())
+    assert all(zlib.crc32((r["text"] or "").encode()) == r["text_crc32"] for r in found)
+    plain = sharding.balanced_shards(messy, shards=4)
+    assert "text" not in plain.columns and plain.count() == len(found)
+    assert sharding.balanced_shards(nothing, keep=("text",)).count() == 0
+
+
+def plain_differencing(sizes, shards):
+    """Largest differencing over lists of members, straight from its definition."""
+    parts = [[[(s, i)]] + [[] for _ in range(shards - 1)] for i, s in enumerate(sizes)]
+
+    def sums(part):
+        return sorted((sum(s for s, _ in one) for one in part), reverse=True)
+
+    parts = [(sums(p)[-1] - sums(p)[0], n, p) for n, p in enumerate(parts)]
+    number = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[:2])
+        (_, _, a), (_, _, b), *parts = parts
+        a = sorted(a, key=lambda one: -sum(s for s, _ in one))
+        b = sorted(b, key=lambda one: sum(s for s, _ in one))
+        both = [x + y for x, y in zip(a, b)]
+        parts.append((sums(both)[-1] - sums(both)[0], number, both))
+        number += 1
+    return sums(parts[0][2])
+
+
+def test_differencing_equals_a_plain_version():
+    draw = random.Random(4)
+    for _ in range(40):
+        sizes = [draw.randrange(1, 1000) for _ in range(draw.randrange(1, 30))]
+        shards = draw.randrange(2, 6)
+        sums = [0] * shards
+        for size, shard in zip(sizes, sharding.differenced(sizes, shards)):
+            sums[shard] += size
+        assert sorted(sums, reverse=True) == plain_differencing(sizes, shards)
+
+
 def test_differencing_balances():
     draw = random.Random(2)
     sizes = [draw.randrange(1, 5000) for _ in range(2000)]
