@@ -33,8 +33,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sharding_by_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row gets a shard and a slot in it."""
-    return sharding.balanced_shards(docs)
+    """Every row gets a shard and a slot in it, and carries its text there."""
+    return sharding.balanced_shards(docs, keep=("text",))
 
 
 STAGES = [
