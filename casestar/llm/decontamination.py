@@ -18,6 +18,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from casestar.llm.common import byte_values, ids_of
 
@@ -138,13 +139,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER
     text is within the item's budget of.
 
     Null or blank texts and items match nothing. Rows that repeat, on either side, match each;
-    so does a null ``doc_id`` or ``item_id``. Other columns are ignored.
+    so does a null ``doc_id`` or ``item_id``; ids keep their type. Texts of any length are searched
+    whole, in time proportional to the length, and held one at a time in their task. Of equally
+    near parts of a text one row comes out, with their distance. Other columns are ignored.
     """
     columns = docs.select("doc_id", "text")
     kinds = [docs.schema["doc_id"].dataType.simpleString(),
              benchmark.schema["item_id"].dataType.simpleString()]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int"
-    item_type = pa.string() if kinds[1] == "string" else pa.int64()
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
 
     def hits(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
         rows = [(i, item, d) for i, mine in enumerate(found) for item, d in mine]

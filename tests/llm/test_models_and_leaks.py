@@ -73,6 +73,27 @@ def test_leaks_equal_plain_version(spark, monkeypatch, nothing):
     assert decontamination.leaks(docs, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["int", "short", "string"])
+def test_leaks_keep_the_type_of_item_ids(spark, messy, kind):
+    """Repeated and null items, a very long text, and columns that clash with each other's."""
+    long_text = prose(7, 6000)
+    items = [(1, long_text[20000:20300]), (1, long_text[20000:20300]), (2, prose(1, 300)[:80]),
+             (None, prose(8, 12)), (3, None), (4, "  ")]
+    benchmark = spark.createDataFrame(
+        [(None if i is None else str(i) if kind == "string" else i, t, "x", "y") for i, t in items],
+        f"item_id {kind}, text string, doc_id string, distance string")
+    found = decontamination.leaks(messy, benchmark)
+    assert found.schema["item_id"].dataType == benchmark.schema["item_id"].dataType
+    near = [(d, i) for d, text, *_ in messy_rows() for i, item in items
+            if item and item.strip() and text
+            and decontamination.normalized(item) in decontamination.normalized(text)]
+    assert Counter((r["doc_id"], r["item_id"] and int(r["item_id"])) for r in found.collect()
+                   if r["distance"] == 0) == Counter(near)
+    clean = decontamination.clean_documents(messy, benchmark)
+    assert clean.columns == messy.columns
+    assert not {11, 1, 2, 0} & {r["doc_id"] for r in clean.collect()}
+
+
 def test_co_training_on_held_out_labels(spark):
     good, bad = ["calm", "clear", "sound"], ["spam", "junk", "idiot"]
     draw = random.Random(3)
