@@ -12,6 +12,12 @@ are what is grouped, some ten to a thousand times fewer than windows:
    larger crowd are grouped by their own hashes instead, all over the cluster.
 3. Each document finds its phrases again, and covers what the first two steps settled.
 
+Rows without an id are told apart by a hash of their text, so they are dealt like all others.
+
+Phrases are equal if the 64-bit hashes of their gram and of all their units are; they are only
+compared under one gram. Windows of crowds meet among all windows of the corpus, so two
+independent hashes, 128 bits together, decide about them.
+
 Within a batch of documents equal phrases are counted before they are shuffled, so a passage that
 a third of all documents share costs its group one row per batch. Equal windows of a crowd are
 merged in the same way. What passes through one task is streamed, not held.
@@ -86,6 +92,11 @@ def stretch_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return (sums[end] - sums[start]) * powers("down", len(sums))[start]
 
 
+def check_sums(codes: np.ndarray) -> np.ndarray:
+    """Sums for a second hash that does not depend on the first: the codes are other ones."""
+    return prefix(mixed(codes ^ _MIX))
+
+
 def _pieces(bounds: np.ndarray, width: int) -> Iterator[tuple[int, int]]:
     """Stretches of about a piece: whole short texts together, and the parts of each long text,
     counted from its start, so that a text has the same phrases wherever it is met."""
@@ -280,7 +291,7 @@ def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
             pick = picked(text, names, batch.column(2))
             yield from_columns(
                 gram[pick].view(np.int64), names[pick], doc[text[pick]], (anchor - first)[pick],
-                np.ones(len(pick), np.int64),
+                np.ones(len(pick), np.int64), np.zeros(len(pick), np.int64),
                 [codes[a:b + width].tobytes() if units.packed == 8
                  else bytes_of(texts, bounds, t, a, b + width)
                  for t, a, b in zip(text[pick], first[pick], last[pick])])
@@ -301,14 +312,14 @@ def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
 
     def from_columns(*columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [*map(pa.array, columns[:5]), pa.array(columns[5], pa.binary())],
-            names=["gram", "phrase", "doc", "place", "times", "units"])
+            [*map(pa.array, columns[:6]), pa.array(columns[6], pa.binary())],
+            names=["gram", "phrase", "doc", "place", "times", "proof", "units"])
 
     def windows_of(codes, first, last, anchor, gram, names, doc) -> Iterator[pa.RecordBatch]:
         """A row for each window of the phrases of crowds, keyed by its hash, without units. Of
         equal ones those of the first document go to their group, with their number; the others
         are settled, which zero tells, and travel by keys of their own."""
-        sums = prefix(codes)
+        sums, checks = prefix(codes), check_sums(codes)
         sizes = last - first + 1
         for part in np.array_split(np.arange(len(sizes)), int(sizes.sum()) // (1 << 19) + 1):
             size = sizes[part]
@@ -317,21 +328,28 @@ def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
             begin = first[owner] + inside
             key = mixed(stretch_hash(sums, begin, begin + width) ^ gram[owner]
                         ^ mixed((anchor[owner] - begin).astype(np.uint64) + np.uint64(1)))
-            order = np.lexsort((doc[owner], key))
-            key, owner, inside = key[order], owner[order], inside[order]
-            at, to = runs(key)
+            proof = stretch_hash(checks, begin, begin + width)
+            order = np.lexsort((doc[owner], proof, key))
+            key, proof, owner, inside = (x[order] for x in (key, proof, owner, inside))
+            at, to = runs(numbered(key, proof))
             same = doc[owner] == np.repeat(doc[owner[at]], to - at)
             key = np.where(same, key, mixed(key ^ doc[owner].view(np.uint64)))
             yield from_columns(key.view(np.int64), names[owner], doc[owner], inside,
                                np.where(same, np.repeat(to - at, to - at), 0),
-                               pa.nulls(len(key), pa.binary()))
+                               proof.view(np.int64), pa.nulls(len(key), pa.binary()))
+
+    def numbered(key: np.ndarray, proof: np.ndarray) -> np.ndarray:
+        """A number for each run of rows that agree in both."""
+        fresh = np.ones(len(key), np.int64)
+        fresh[1:] = (key[1:] != key[:-1]) | (proof[1:] != proof[:-1])
+        return np.cumsum(fresh)
 
     def bytes_of(texts: list[bytes], bounds: np.ndarray, t: int, a: int, b: int) -> bytes:
         return texts[t][a - bounds[t]:b - bounds[t]]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _grouped(batches):
-            alone = batch.column(5).is_null()
+            alone = batch.column(6).is_null()
             if alone.true_count:
                 yield crowded(batch.filter(alone))
                 batch = batch.filter(pc.invert(alone))
@@ -339,10 +357,11 @@ def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
                 yield together(batch)
 
     def crowded(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, phrase, doc, place, times = (np.asarray(batch.column(i)) for i in range(5))
-        order = np.lexsort((doc, key))
-        key, phrase, doc, place, times = (x[order] for x in (key, phrase, doc, place, times))
-        at, to = runs(key)
+        key, phrase, doc, place, times, proof = (np.asarray(batch.column(i)) for i in range(6))
+        order = np.lexsort((doc, proof, key))
+        key, phrase, doc, place, times, proof = (
+            x[order] for x in (key, phrase, doc, place, times, proof))
+        at, to = runs(numbered(key, proof))
         if units.earlier_only:
             hit = doc > np.repeat(doc[at], to - at)
         else:
@@ -353,7 +372,7 @@ def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
             names=["doc", "phrase", "low", "high"])
 
     def together(batch: pa.RecordBatch) -> pa.RecordBatch:
-        stored = list(byte_values(batch.column(5)))
+        stored = list(byte_values(batch.column(6)))
         if units.packed == 8:
             codes = np.frombuffer(b"".join(stored), np.uint64)
             sizes = np.array([len(s) // 8 for s in stored])
@@ -388,17 +407,25 @@ def compared(docs: DataFrame, found: DataFrame, units: Units) -> DataFrame:
 
     return staged(
         docs.join(asked.hint("merge"), "doc").select("doc", "text", "asked", "crowds")
-        .mapInArrow(fetch, "gram long, phrase long, doc long, place long, times long, units binary")
+        .mapInArrow(fetch, "gram long, phrase long, doc long, place long, times long, proof long, "
+                           "units binary")
         .repartition("gram").sortWithinPartitions("gram")
         .mapInArrow(compare, "doc long, phrase long, low long, high long"), "windows")
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, doc``: rows under the key of their notes, the id or else a hash of the
+    text. Rows that share a key, copies without an id or by chance, share their notes; a note names
+    phrases by content, so each row only uses those on its own phrases."""
+    return docs.select("doc_id", "text", F.coalesce(
+        F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc"))
+
+
 def covered(docs: DataFrame, units: Units, result: Callable, schema: str,
             with_null_ids: bool) -> DataFrame:
     """All steps: ``result(ids, texts, codes, bounds, hit)`` makes a record batch of ``schema``
     of some texts, their codes, and which codes lie in a repeated window."""
-    keyed = docs.select("doc_id", "text", F.coalesce(
-        F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"))
+    keyed = keyed_rows(docs)
     part = keyed if with_null_ids else keyed.where("doc_id is not null")
     part = part.select("doc", "text")
     found = settled(part, units)
@@ -441,7 +468,9 @@ def covered(docs: DataFrame, units: Units, result: Callable, schema: str,
                     np.add.at(change, at + hi[which] + width, -1)
             yield result(batch.column(0), texts, codes, bounds, np.cumsum(change[:-1]) > 0)
 
-    return (keyed.join(notes.withColumnRenamed("doc", "_doc").hint("merge"),
-                       F.col("doc") == F.col("_doc"), "left")
+    noted = F.col("doc") == F.col("_doc")
+    if not with_null_ids:
+        noted &= F.col("doc_id").isNotNull()
+    return (keyed.join(notes.withColumnRenamed("doc", "_doc").hint("merge"), noted, "left")
             .select("doc_id", "text", "whole", "some")
             .mapInArrow(cover, f"doc_id {id_type}, {schema}"))

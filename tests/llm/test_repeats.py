@@ -75,6 +75,20 @@ def test_partial_overlaps_at_every_length(spark, monkeypatch, crowd):
     assert Counter(map(tuple, suffixes.without_repeats(docs, 60).collect())) == by_bytes(rows, 60)
 
 
+def test_a_third_of_the_rows_without_id(spark, monkeypatch):
+    """Rows without an id share passages with each other and with the rest, and are spread."""
+    monkeypatch.setattr(repeats, "CROWD", 20)
+    shared = [prose(900 + i, 40) for i in range(30)]
+    rows = [(None if i % 3 == 0 else i, f"{prose(2000 + i, 12)} {shared[i % 30]} {prose(i, 8)}",
+             "en", "a", 1) for i in range(2400)]
+    rows += [(None, prose(5, 60), "en", "a", 1)] * 2 + [(None, None, None, None, None)] * 3
+    docs = frame(spark, rows)
+    assert Counter(map(tuple, rlz.without_copied(docs).collect())) == by_words(rows, 13)
+    assert Counter(map(tuple, suffixes.without_repeats(docs, 60).collect())) == by_bytes(rows, 60)
+    keys = repeats.keyed_rows(docs).where("text is not null").groupBy("doc").count()
+    assert keys.agg({"count": "max"}).first()[0] == 2
+
+
 def test_groups_are_cut_where_keys_change():
     """Whole groups come out whatever the batches they arrive in."""
     keys = [0] * 7 + [1] + [2] * 4 + [3, 4] + [5] * 9
