@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from corpus_samples import frame, messy_rows, prose
 
@@ -103,9 +105,90 @@ def test_mix_on_messy_and_empty_tables(messy, nothing):
     assert mixing.mixed_documents(nothing).count() == 0
 
 
+def plain_draws(slots: dict[int, int], shard_slots: int, seed: int) -> Counter:
+    """Each slot draws a place of all; the source is the one that the place falls to. The sources
+    lie in the order that the operator's running sums give them."""
+    order = sorted(slots, key=lambda s: (signed_hash(s) % 1024, s))
+    owners = [s for s in order for _ in range(slots[s])]
+    return Counter((i // shard_slots, owners[signed_hash(i, seed) % len(owners)])
+                   for i in range(len(owners)))
+
+
+def signed_hash(value: int, seed: int | None = None) -> int:
+    digest = xxhash.xxh64_intdigest(struct.pack("<q", value), 42)
+    if seed is not None:
+        digest = xxhash.xxh64_intdigest(struct.pack("<i", seed), digest)
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def test_draws_equal_a_plain_version(spark):
+    slots = {1: 900, 2: 0, 3: 41, 4: 2500, 5: 1, 6: 5000}
+    rows = [(s, n, max(n, 1)) for s, n in slots.items()]
+    sources = spark.createDataFrame(rows, "source_no long, slots long, blocks long")
+    found = {(r["shard"], r["source_no"]): r["drawn"]
+             for r in mixing.drawn_counts(sources, 256, 17).collect()}
+    assert found == plain_draws(slots, 256, 17)
+    # a multinomial draw spreads as one: a source of half the mix varies by about 8 in 256
+    half = [found[(shard, 6)] for shard in range(sum(slots.values()) // 256)]
+    share = slots[6] / sum(slots.values())
+    spread = (sum((x - 256 * share) ** 2 for x in half) / len(half)) ** 0.5
+    assert 0.6 < spread / (256 * share * (1 - share)) ** 0.5 < 1.5
+
+
+@pytest.mark.parametrize("shard_slots", [1, 64, 10 ** 6])
+def test_slots_are_full_and_blocks_are_read_in_turn(spark, shard_slots):
+    rows = [(1, 900, 600), (2, 0, 0), (3, 41, 41), (4, 2500, 1250), (5, 1, 9), (6, 700, 350)]
+    sources = spark.createDataFrame(rows, "source_no long, slots long, blocks long")
+    mix = mixing.mix_slots(sources, shard_slots).collect()
+    total = sum(r[1] for r in rows)
+    assert Counter((r["shard"] * shard_slots + r["place"]) for r in mix) == Counter(range(total))
+    times = Counter((r["source_no"], r["block"]) for r in mix)
+    for source, slots, blocks in rows:
+        mine = {b: n for (s, b), n in times.items() if s == source}
+        assert sum(mine.values()) == slots and all(0 <= b < blocks for b in mine)
+        assert all(slots // blocks <= mine.get(b, 0) <= -(-slots // blocks)
+                   for b in range(blocks))
+    # only slots drawn beyond a source's own are dealt again
+    drawn = {(r["shard"], r["source_no"]): r["drawn"]
+             for r in mixing.drawn_counts(sources, shard_slots).collect()}
+    in_mix = Counter((r["shard"], r["source_no"]) for r in mix)
+    moved = sum((Counter(drawn) - in_mix).values())
+    so_far = Counter()
+    for (_, source), n in drawn.items():
+        so_far[source] += n
+    assert moved == sum(max(so_far[s] - n, 0) for s, n, _ in rows)
+
+
+def test_the_mix_holds_what_is_taken(messy, nothing):
+    words = {r[0]: (r[1] or "").encode().split() for r in messy_rows()}
+    spans = mixing.mix_spans(messy, block_words=16, shard_slots=32).collect()
+    taken = Counter()
+    for r in spans:
+        assert 0 <= r["from_word"] and r["from_word"] + r["words"] <= r["size"]
+        taken[(r["doc_id"], r["size"])] += r["words"]
+    sums = Counter()
+    for r in mixing.mixed(messy, block_words=16).collect():
+        sums[(r["doc_id"], r["size"])] += r["taken"]
+    assert +sums == +taken
+    assert all(size == len(words[doc]) for doc, size in taken if doc is not None)
+    slots = defaultdict(list)
+    for r in spans:
+        slots[(r["shard"], r["place"])].append((r["offset"], r["words"]))
+    for pieces in slots.values():  # pieces follow each other and fill the block
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at <= 16
+    assert mixing.mix_spans(nothing).count() == 0
+
+
 def test_mix_is_native(messy):
     plan = mixing.mixed(messy)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+    slots = mixing.mix_spans(messy)._jdf.queryExecution().executedPlan().toString()
+    assert "place" in slots and "shard" in slots
+    assert not any(x in plan + slots
+                   for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000, 1048573, 2 * 1048573])
