@@ -7,14 +7,16 @@ cut into ``blocks`` blocks; at most ``max_bits`` of them can differ, hence any s
 into the same cell of at least one choice of ``blocks - max_bits`` blocks. The pairs of a cell
 are filtered by the Manhattan distance of the block totals and verified on the fingerprints.
 
-A wider corpus takes more blocks: 6 give 15 choices with cells of some 2**15, 8 give 70 choices
-with 2**22. The answer is the same for any number.
+A wider corpus takes more blocks: 6 give 15 choices with some 2**15 cells each, 8 give 70 choices
+with 2**22. The number follows from the measured count of distinct fingerprints; the answer is
+the same for any number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,11 @@ SEGMENT_BITS = 2
 SEGMENTS = 64 // SEGMENT_BITS
 # A cell with more fingerprints than this is compared in several tasks, chunk against chunk.
 CELL_ROWS = 20_000
+# Two bits meet the same count with chance 1/16 + 1/4 + 1/16: this many bits of a cell a segment.
+SEGMENT_ENTROPY = 1.415
+# Sending a fingerprint to a cell costs about as much as this many comparisons.
+ROW_COST = 100
+MOST_BLOCKS = 12
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -88,6 +95,17 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def blocks_for(prints: int, max_bits: int) -> int:
+    """The number of blocks that costs least for so many distinct fingerprints: each one goes to
+    a cell per choice of blocks, and meets there what falls into the same cell by chance. At least
+    two blocks are chosen; the cells of one are too crowded from some 10,000 prints on."""
+    def cost(blocks: int) -> float:
+        cell_bits = SEGMENT_ENTROPY * SEGMENTS * (blocks - max_bits) / blocks
+        return comb(blocks, max_bits) * (ROW_COST + prints / 2 ** cell_bits)
+
+    return min(range(max_bits + 2, max(MOST_BLOCKS, max_bits + 2) + 1), key=cost)
+
+
 def cells(prints: DataFrame, blocks: int, max_bits: int) -> DataFrame:
     """``fp`` and ``cell`` for each choice of blocks: the bit counts of the chosen segments."""
     masks = _masks(blocks)
@@ -184,9 +202,10 @@ SALTS = 16
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
-                    blocks: int = 6) -> DataFrame:
+                    blocks: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the smallest
-    ``doc_id`` that links of at most ``max_bits`` differing bits lead to.
+    ``doc_id`` that links of at most ``max_bits`` differing bits lead to. Unless given, ``blocks``
+    is the cheapest number for the distinct fingerprints that there are.
 
     A null text counts as empty, and an empty one has the fingerprint zero, which links like any
     other. Rows that repeat share fingerprint and component. A null ``doc_id`` takes part, but
@@ -194,6 +213,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
     """
     each = staged(fingerprints(docs, shingle), "fingerprints")
     prints = staged(each.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
+    if blocks is None:
+        blocks = blocks_for(prints.count(), max_bits)
     roots = components(links(prints.select("fp"), blocks, max_bits), "a", "b", "links")
     named = staged(prints.join(roots, prints["fp"] == roots["node"], "left")
                    .select("fp", "first_id", "root"), "rooted")

@@ -63,7 +63,7 @@ def test_links_lose_no_pair(spark):
     prints = clustered(3)
     wanted = plain_components(prints, 4)
     frame = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
-    for blocks, cell_rows in ((6, 20_000), (6, 20), (8, 20_000)):
+    for blocks, cell_rows in ((5, 20_000), (6, 20_000), (6, 20), (8, 20_000), (10, 20_000)):
         links = simhash.links(frame, blocks, 4, cell_rows)
         root = {r["node"] & (1 << 64) - 1: r["root"] for r in
                 components(links, "a", "b", "test").collect()}
@@ -71,6 +71,18 @@ def test_links_lose_no_pair(spark):
         assert len(set(zip(found, wanted))) == len(set(found)) == len(set(wanted))
 
 
+def test_blocks_follow_the_number_of_prints(monkeypatch, messy):
+    sizes = [10 ** k for k in range(13)]
+    chosen = [simhash.blocks_for(n, 4) for n in sizes]
+    assert chosen == sorted(chosen) and chosen[0] == 6 and chosen[-1] >= 10
+    assert simhash.blocks_for(250_000, 4) == 6 and simhash.blocks_for(10 ** 8, 4) == 8
+    assert all(simhash.blocks_for(n, 0) >= 2 for n in sizes)
+    found = Counter(map(tuple, simhash.near_duplicates(messy).collect()))
+    monkeypatch.setattr(simhash, "ROW_COST", 0)  # as if comparing were all that counts
+    assert simhash.blocks_for(60, 4) == 12
+    assert Counter(map(tuple, simhash.near_duplicates(messy, blocks=9).collect())) == found
+
+
 def test_embedding_is_a_lower_bound():
     draw = np.random.default_rng(1)
     prints = draw.integers(0, 1 << 63, 400, dtype=np.uint64)
