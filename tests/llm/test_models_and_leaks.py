@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from corpus_samples import frame, messy_rows, prose
 from oracle_check import connect, differences
@@ -115,6 +116,106 @@ def test_co_training_on_held_out_labels(spark):
     assert sum(r["kept"] for r in found if truth[r["doc_id"]]) >= 0.98 * sum(truth.values())
 
 
+def plain_fit(rows, labels, steps=80):
+    """Logistic regression on a dense matrix: Adam over all rows, a small ridge. ``rows`` holds
+    sets of buckets with dense values; the result gives the margin of such a row."""
+    n = max(len(rows), 1)
+    columns = sorted(set().union(*(b for b, _ in rows)))
+    x = np.array([[float(c in b) for c in columns] for b, _ in rows])
+    dense = np.array([d for _, d in rows], float).reshape(len(rows), -1)
+    mean, spread = dense.mean(axis=0), dense.std(axis=0) + 1e-6
+    x = np.hstack((x, (dense - mean) / spread, np.ones((len(rows), 1))))
+    prior = min(max(sum(labels) / n, 1e-3), 1 - 1e-3)
+    theta = np.zeros(x.shape[1])
+    theta[-1] = np.log(prior / (1 - prior))
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    for step in range(1, steps + 1):
+        p = 1 / (1 + np.exp(-(x @ theta)))
+        slope = x.T @ (p - np.array(labels)) / n + 1e-4 * theta / np.sqrt(n)
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope ** 2
+        theta = theta - 0.1 * first / (1 - 0.9 ** step) / (
+            np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
+    weights = dict(zip(columns, theta))
+
+    def margin(row):
+        values = (np.array(row[1], float) - mean) / spread
+        return (sum(weights.get(b, 0.0) for b in row[0])
+                + values @ theta[len(columns):-1] + theta[-1])
+
+    return margin
+
+
+def plain_co_training(rows, labels, pool, rounds):
+    """Per view the margin after all rounds, and the labels that each one was given per round."""
+    train = {v: list(zip(rows[v], labels)) for v in rows}
+    free = {v: set(range(len(pool[v]))) for v in rows}
+    share, most, given = sum(labels) / len(labels), int(0.1 * len(pool["text"])), []
+    for _ in range(rounds):
+        margins = {v: plain_fit(*zip(*train[v])) for v in train}
+        for teacher, pupil in (("text", "meta"), ("meta", "text")):
+            p = [1 / (1 + np.exp(-margins[teacher](row))) for row in pool[teacher]]
+            for label, part in ((1.0, share), (0.0, 1 - share)):
+                sure = [(x if label else 1 - x, -i) for i, x in enumerate(p)]
+                best = [-i for s, i in sorted(sure, reverse=True)
+                        if s >= 0.95 and -i in free[pupil]][:int(most * part)]
+                free[pupil] -= set(best)
+                train[pupil] += [(pool[pupil][i], label) for i in best]
+                given.append((pupil, label, len(best)))
+    return {v: plain_fit(*zip(*train[v])) for v in train}, given
+
+
+def test_co_training_equals_a_plain_version():
+    def views(seeds, good):
+        texts = [(prose(s, 40, 60) + (" fine" if g else " ### poor")).encode()
+                 for s, g in zip(seeds, good)]
+        return ([cotraining.text_features(t) for t in texts],
+                [(cotraining.meta_features("en", "ab"[g == (s % 7 > 0)], 100), [])
+                 for s, g in zip(seeds, good)])
+
+    draw = random.Random(8)
+    y = [draw.random() < 0.6 for _ in range(90)]
+    pool_y = [draw.random() < 0.6 for _ in range(150)]
+    text, meta = views(range(90), y)
+    pool_text, pool_meta = views(range(500, 650), pool_y)
+
+    def rows(view, dense):
+        return cotraining.Rows.of([b for b, _ in view], [d for _, d in view] if dense else None)
+
+    held = np.zeros(90, bool)
+    held[::5] = True
+    model = cotraining.co_trained(rows(text, True), rows(meta, False), np.array(y, float), held,
+                                  rows(pool_text, True), rows(pool_meta, False), rounds=3)
+    used = [i for i in range(90) if not held[i]]
+    margins, given = plain_co_training(
+        {"text": [text[i] for i in used], "meta": [meta[i] for i in used]},
+        [float(y[i]) for i in used], {"text": pool_text, "meta": pool_meta}, 3)
+    assert sum(n for pupil, _, n in given if pupil == "meta") > 0
+    for view, found, given_rows in ((pool_text, model.text, rows(pool_text, True)),
+                                    (pool_meta, model.meta, rows(pool_meta, False))):
+        wanted = [margins["text" if found is model.text else "meta"](r) for r in view]
+        assert found.margins(given_rows) == pytest.approx(wanted, abs=1e-5)
+
+
+def test_the_pool_is_picked_by_hash(spark, monkeypatch):
+    seen = {}
+
+    def caught(text, meta, y, held, pool_text, pool_meta):
+        seen["pool"] = pool_text.dense[:, 0]
+        raise StopIteration
+
+    monkeypatch.setattr(cotraining, "co_trained", caught)
+    # a third of the rows has no id; the number of words tells rows apart
+    rows = [(i if i % 3 else None, " ".join(["w"] * (i + 1)), "en", "a", 1) for i in range(600)]
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    for given in (rows, rows[::-1]):
+        with pytest.raises(StopIteration):
+            cotraining.fitted(frame(spark, given), labels, pool=60)
+        picked = np.rint(np.expm1(seen["pool"])).astype(int) - 1
+        assert 59 <= len(picked) <= 60 and len(set(picked)) == len(picked)
+        assert picked.max() > 400 and 5 < (picked % 3 == 0).sum() < 40
+        assert seen.setdefault("first", set(picked)) == set(picked)
+
+
 def test_co_training_on_messy_and_empty_tables(spark, messy, nothing):
     schema = "doc_id long, quality long, toxic long"
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (None, 1, 0), (12, 0, None), (7, 1, None),
