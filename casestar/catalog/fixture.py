@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from casestar.config import RAW_TO_PUBLISHED, QuestionRules
 from casestar.operators.dimensions import build_dimension
 from casestar.operators.keys import KeyedTable
-from casestar.plans.etl import StagedStar, publish_star, stage_star
+from casestar.plans.etl import (
+    StagedClean,
+    StagedStar,
+    publish_star,
+    stage_clean,
+    stage_dimensions,
+)
 from casestar.schemas import RAW
 from casestar.session import shared_folder
 from casestar.sources.readers import read_table
@@ -139,11 +145,18 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _once(spark, sf_dir, "raw_zone", land), RAW)
 
 
+def cleaned(spark: SparkSession, sf_dir: str) -> StagedClean:
+    """The clean table alone, staged once per application."""
+    raw = raw_zone(spark, sf_dir)
+    return _once(spark, sf_dir, "cleaned",
+                 lambda: stage_clean(raw, work_path(spark, sf_dir, "warehouse")))
+
+
 def star(spark: SparkSession, sf_dir: str) -> StagedStar:
     """Clean table and dimensions, staged once per application."""
-    raw = raw_zone(spark, sf_dir)
+    table = cleaned(spark, sf_dir)
     return _once(spark, sf_dir, "star",
-                 lambda: stage_star(raw, work_path(spark, sf_dir, "warehouse")))
+                 lambda: stage_dimensions(table, work_path(spark, sf_dir, "warehouse")))
 
 
 def null_safe_location(spark: SparkSession, sf_dir: str) -> KeyedTable:

@@ -432,7 +432,7 @@ def queries() -> dict[str, Query]:
         "dim_factor": _table("dim_factor"),
         "dim_surrogate_keys": dim_surrogate_keys,
         "dim_location_rebuilt": dim_location_rebuilt,
-        "fact_base": lambda spark, sf: fixture.star(spark, sf).base(),
+        "fact_base": lambda spark, sf: fixture.cleaned(spark, sf).base(),
         "fact_build": lambda spark, sf: fixture.star(spark, sf).fact(),
         "fact_build_broadcast": lambda spark, sf: fixture.star(spark, sf).fact(etl.ALL_DIMENSIONS),
         "join_null_safe": join_null_safe,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -120,18 +121,25 @@ def clean_records(raw: DataFrame, columns: RawColumns = RawColumns(),
 
 
 @dataclass(frozen=True)
-class StagedStar:
-    """What the fact is built from: written tables under ``path`` that will not change any more."""
+class StagedClean:
+    """The cleaned table of a new version, written under ``path``, and the dimensions to come."""
 
     path: str
     clean: DataFrame
     dims: dict[str, Dimension]
-    keyed: dict[str, KeyedTable]
     counts: dict[str, int]  # observed while the clean table was written
 
     def base(self) -> DataFrame:
+        """The fact base needs the specs of the dimensions, not their rows."""
         return fact_base(self.clean, self.dims.values())
 
+
+@dataclass(frozen=True)
+class StagedStar(StagedClean):
+    """What the fact is built from: written tables under ``path`` that will not change any more."""
+
+    keyed: dict[str, KeyedTable]
+
     def fact(self, broadcast=()) -> DataFrame:
         """The fact; hot natural keys of the dimensions that are not broadcast are looked up
         first, in one pass over the columns of those keys."""
@@ -165,29 +173,43 @@ def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
     Every job that follows reads these tables, so a lost executor costs a re-read and all
     jobs see the same survivors and the same keys.
     """
+    return stage_dimensions(stage_clean(raw, root, columns, rules), root, previous)
+
+
+def stage_clean(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
+                rules: CleanRules = CleanRules()) -> StagedClean:
+    """Write the cleaned table of a new version and check its ids."""
     spark, version = raw.sparkSession, f"{VERSION_PREFIX}{uuid.uuid4().hex}"
+    path, watch = f"{root}/{version}", Watch(spark)
+    with _leased(spark, root, version):
+        with watch.running():
+            clean = staged(clean_records(raw, columns, rules, watch), f"{path}/_stage/clean")
+        counts = watch.values()
+        if not watch.is_exact():  # rows before the shuffle may have been counted twice
+            counts |= count_keyed(raw, columns)
+        check_ids(clean)
+    return StagedClean(path, clean, standard_dimensions(rules), counts)
+
+
+def stage_dimensions(table: StagedClean, root: str, previous: Warehouse | None = None) -> StagedStar:
+    """Write the dimensions of a version whose cleaned table is staged."""
+    spark, version = table.clean.sparkSession, table.path.rsplit("/", 1)[-1]
+    with _leased(spark, root, version):
+        keyed = build_dimensions(table.clean, table.dims, table.path, previous)
+    return StagedStar(table.path, table.clean, table.dims, table.counts, keyed)
+
+
+@contextmanager
+def _leased(spark: SparkSession, root: str, version: str):
+    """A lease that stays for the steps to follow, unless the block fails."""
     take_lease(spark, root, version)
     try:
-        return _stage(raw, f"{root}/{version}", columns, rules, previous)
+        yield
     except BaseException:
         drop_lease(spark, root, version)
         raise
 
 
-def _stage(raw: DataFrame, path: str, columns: RawColumns, rules: CleanRules,
-           previous: Warehouse | None) -> StagedStar:
-    watch = Watch(raw.sparkSession)
-    with watch.running():
-        clean = staged(clean_records(raw, columns, rules, watch), f"{path}/_stage/clean")
-    counts = watch.values()
-    if not watch.is_exact():  # rows before the shuffle may have been counted twice
-        counts |= count_keyed(raw, columns)
-    check_ids(clean)
-    dims = standard_dimensions(rules)
-    return StagedStar(path, clean, dims, build_dimensions(clean, dims, path, previous),
-                      counts)
-
-
 def count_keyed(raw: DataFrame, columns: RawColumns) -> dict[str, int]:
     """What the watch counts before the shuffle, in a pass of its own."""
     metrics = key_metrics("collision_id")

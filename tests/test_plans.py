@@ -3,9 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from samples import DEFAULTS
+from samples import DEFAULTS, raw_frame
 
-from casestar.catalog import fixture
+from casestar.catalog import fixture, registry
 from casestar.catalog.fixture import RULES
 from casestar.config import RAW_TO_PUBLISHED
 from casestar.operators.facts import build_fact, hot_natural_keys
@@ -87,6 +87,22 @@ def test_a_hot_natural_key_is_split_in_the_fact_join(spark, conf, tmp_path):
     assert len({r.location_key for r in rows}) == 40_001
 
 
+def test_fact_base_builds_no_dimension(spark, monkeypatch, tmp_path):
+    raw = raw_frame(spark, {"borough": " X"}, {"borough": None}, {"collision_id": None},
+                    {"crash_date": "13/40/2020"}, {"collision_id": "2", "borough": "Y"})
+    monkeypatch.setattr(fixture, "raw_records", lambda spark, sf_dir: raw)
+    built = []
+    build = etl.build_dimensions
+    monkeypatch.setattr(etl, "build_dimensions", lambda *given: built.append(1) or build(*given))
+    base = registry.queries()["fact_base"](spark, str(tmp_path))
+    rows = sorted(base.collect())
+    assert [(row.collision_id, row.j_borough) for row in rows] == [(1, "X"), (2, "UNKNOWN_BOROUGH")]
+    assert not built
+    star = fixture.star(spark, str(tmp_path))
+    assert built == [1]
+    assert sorted(star.base().collect()) == rows
+
+
 def test_dimension_build_sorts_and_shuffles_once_after_the_distinct(spark, tmp_path):
     star = fixture.star(spark, SF)
     dim = star.dims["dim_location"]
