@@ -231,7 +231,8 @@ def etl_step_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_coordinate_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.coordinate_audit(_typed(spark, sf), *COORDINATES, CLEANING.latitude_range,
+    unique = etl.unique_coordinates(fixture.raw_zone(spark, sf))
+    return Q.coordinate_audit(unique, *COORDINATES, CLEANING.latitude_range,
                               CLEANING.longitude_range)
 
 

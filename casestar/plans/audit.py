@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from casestar.config import CleanRules, RawColumns
 from casestar.operators.clean import rename_raw
 from casestar.operators.quality import coordinate_audit, count_flags, step_audit, table_counts
-from casestar.plans.etl import COORDINATES, typed_coordinates, unique_records
+from casestar.plans.etl import COORDINATES, unique_coordinates
 from casestar.sources.warehouse import Warehouse
 
 
@@ -22,12 +22,12 @@ def recounted_audit(raw: DataFrame, warehouse: Warehouse, columns: RawColumns =
                 rules: CleanRules = CleanRules()) -> DataFrame:
     """One row per count of a build: ``section``, ``item``, ``observed``.
 
-    Two passes over the raw table, one for the steps and one for the coordinates; flags and table
-    sizes come from the published tables.
+    Two passes over the leading columns of the raw table, one for the steps and one for the
+    coordinates; flags and table sizes come from the published tables.
     """
     steps = step_audit(rename_raw(raw, columns.names), "collision_id", "crash_date",
                        rules.date_format)
-    coordinates = coordinate_audit(typed_coordinates(unique_records(raw, columns)), *COORDINATES,
+    coordinates = coordinate_audit(unique_coordinates(raw, columns), *COORDINATES,
                                    rules.latitude_range, rules.longitude_range)
     flags = count_flags(warehouse.table("fact_crash"), {
         "property_damage_only_rows": F.col("property_damage_only"),

@@ -6,7 +6,7 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,6 +89,19 @@ def typed_coordinates(unique: DataFrame) -> DataFrame:
     return lenient_cast(unique, {name: "double" for name in COORDINATES})
 
 
+def unique_coordinates(raw: DataFrame, columns: RawColumns = RawColumns()) -> DataFrame:
+    """Id and typed coordinates of each row of ``unique_records``.
+
+    The survivor of an id is its smallest row by all columns in their order, so its coordinates
+    follow from the columns up to them; the others are neither read nor shuffled.
+    """
+    upto = max(list(columns.names.values()).index(name) for name in COORDINATES)
+    leading = {source: name for at, (source, name) in enumerate(columns.names.items())
+               if at <= upto or name == "collision_id"}
+    unique = unique_records(raw, replace(columns, names=leading))
+    return typed_coordinates(unique).select("collision_id", *COORDINATES)
+
+
 def valid_coordinates(typed: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     return (typed.transform(zero_to_null, COORDINATES)
             .transform(null_out_of_range, {"latitude": rules.latitude_range,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import raw_frame
 
-from casestar.catalog import fixture
+from casestar.catalog import fixture, registry
 from casestar.operators import observed, quality
 from casestar.plans import etl
 from casestar.plans.audit import recounted_audit
@@ -70,6 +70,33 @@ def test_counts_before_the_shuffle_are_recounted_after_a_rerun(spark, tmp_path,
     assert found["1 missing key", "rows_removed"] == 1
 
 
+def test_coordinates_are_recounted_from_the_columns_up_to_them(spark):
+    raw = raw_frame(
+        spark, {"collision_id": "1", "latitude": "0", "longitude": "0", "factor_1": "z"},
+        {"collision_id": "1", "latitude": "0", "longitude": "0", "factor_1": "a"},
+        {"collision_id": "1", "latitude": "0", "longitude": "9", "factor_1": None},
+        {"collision_id": "2", "latitude": "50"}, {"collision_id": "2", "latitude": None},
+        {"collision_id": "3", "borough": "B", "latitude": "1"},
+        {"collision_id": "3", "borough": None, "latitude": "n/a", "longitude": "-80"},
+        {"collision_id": " ", "latitude": "50"}, {"collision_id": None, "latitude": "50"})
+    found = etl.unique_coordinates(raw)
+    whole = etl.typed_coordinates(etl.unique_records(raw))
+    assert sorted(found.collect(), key=str) == sorted(
+        whole.select(*found.columns).collect(), key=str)
+    assert {r.collision_id: (r.latitude, r.longitude) for r in found.collect()} == {
+        "1": (0.0, 0.0), "2": (None, -73.9), "3": (None, -80.0)}
+
+
+def test_coordinate_audit_reads_no_column_behind_them(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    raw_frame(spark, {}, {}).write.parquet(path)
+    monkeypatch.setattr(fixture, "raw_zone", lambda spark, sf_dir: spark.read.parquet(path))
+    audit = registry.queries()["dq_coordinate_audit"](spark, SF)
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "LONGITUDE" in plan
+    assert "NUMBER OF" not in plan and "VEHICLE" not in plan
+
+
 def test_a_stage_is_known_to_have_run_once(spark, tmp_path):
     watch = observed.Watch(spark)
     with watch.running():
