@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,11 @@ _WRITTEN = {byte: 256 + at for at, byte in enumerate(sorted({*range(256)} - _PLA
 # The broadcast table has at most so many pre-tokens, of so many bytes.
 HEAD_ROWS, HEAD_BYTES = 1 << 18, 16 << 20
 # A task of the first pass hands its counts on when it has so many different pre-tokens.
-VOCABULARY = 300_000
+VOCABULARY = 1 << 16
 BATCH_ROWS = 20_000
-# Texts are cut in groups of about so many characters.
-GROUP_CHARS = 4 << 20
+# Texts are cut in groups of about so many characters; a group's pre-tokens are held as strings,
+# which take some ten times the memory of the text.
+GROUP_CHARS = 1 << 19
 
 
 class Splitter:
@@ -147,22 +149,21 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
 
 def _vocabulary(rows: DataFrame, shared) -> DataFrame:
     """Every distinct pre-token and how often it occurs in the corpus."""
-    def merged(tables: list[pa.Table]) -> pa.Table:
-        return pa.concat_tables(tables).group_by("pre").aggregate(
-            [("freq", "sum")]).rename_columns(["pre", "freq"])
+    def batches_of(seen: Counter) -> Iterator[pa.RecordBatch]:
+        table = pa.table({"pre": pa.array(seen, pa.string()),
+                          "freq": pa.array(seen.values(), pa.int64())})
+        return iter(table.to_batches(BATCH_ROWS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(shared.value)
-        seen = pa.table({"pre": pa.array([], pa.string()), "freq": pa.array([], pa.int64())})
+        splitter, seen = Splitter(shared.value), Counter()
         for batch in batches:
             for _, texts in _groups(batch):
-                found = [pre for text in texts for pre in splitter.cut(text)[0]]
-                counts = pa.array(found, pa.string()).value_counts()
-                seen = merged([seen, pa.table({"pre": counts.field(0), "freq": counts.field(1)})])
+                for text in texts:
+                    seen.update(splitter.cut(text)[0])
                 if len(seen) > VOCABULARY:
-                    yield from seen.to_batches(BATCH_ROWS)
-                    seen = seen.slice(0, 0)
-        yield from seen.to_batches(BATCH_ROWS)
+                    yield from batches_of(seen)
+                    seen = Counter()
+        yield from batches_of(seen)
 
     return (rows.select("text").mapInArrow(count, "pre string, freq long")
             .groupBy("pre").agg(F.sum("freq").alias("freq")))

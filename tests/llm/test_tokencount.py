@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from corpus_samples import frame, messy_rows, prose
 from tokenizers import Tokenizer
@@ -64,3 +67,42 @@ def test_empty_table_and_other_tokenizers(spark, nothing):
     assert tokencount.token_counts(nothing, DEFINITION).count() == 0
     with pytest.raises(ValueError):
         tokencount.token_counts(nothing, public_tokenizers.path("word_bpe_49k.json"))
+
+
+class Captured:
+    """Stands for a frame and keeps the function that its tasks would run."""
+
+    def select(self, *_):
+        return self
+
+    groupBy = agg = select
+
+    def mapInArrow(self, function, _):
+        self.function = function
+        return self
+
+
+def test_the_first_pass_holds_few_strings(spark):
+    def word(n):
+        return "".join(chr(97 + n // 26 ** k % 26) for k in range(5))
+
+    texts = [" " + " ".join(word((i * 40_000 + j) * 7919) for j in range(40_000))
+             for i in range(16)]
+    wanted = Counter(f" {w}" for text in texts for w in text.split())
+    vocabulary = Captured()
+    tokencount._vocabulary(
+        vocabulary, SimpleNamespace(value=open(DEFINITION, encoding="utf-8").read()))
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    parts = vocabulary.function(iter([batch]))
+    tracemalloc.start()
+    try:
+        handed = [next(parts)]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    found = Counter()
+    for part in [*handed, *parts]:
+        for pre, freq in zip(part["pre"].to_pylist(), part["freq"].to_pylist()):
+            found[pre] += freq
+    assert found == wanted
+    assert most < 24 << 20
