@@ -136,7 +136,7 @@ def _once(spark: SparkSession, sf_dir: str, label: str, build):
 
 
 def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table as landed: written once per application, read by every query after that."""
+    """The raw table as landed: written once per application, for the queries on raw records."""
     def land() -> str:
         path = scratch_path(spark, sf_dir, "raw_zone")
         write_table(raw_records(spark, sf_dir), path)
@@ -145,9 +145,16 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _once(spark, sf_dir, "raw_zone", land), RAW)
 
 
+def raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table for a single pass: as landed if a query asked for the raw zone before, else
+    straight from the joins, so its text columns are not written only to be read back once."""
+    landed = (spark.sparkContext.applicationId, sf_dir, "raw_zone") in _built
+    return raw_zone(spark, sf_dir) if landed else raw_records(spark, sf_dir)
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> StagedClean:
     """The clean table alone, staged once per application."""
-    raw = raw_zone(spark, sf_dir)
+    raw = raw_once(spark, sf_dir)
     return _once(spark, sf_dir, "cleaned",
                  lambda: stage_clean(raw, work_path(spark, sf_dir, "warehouse")))
 

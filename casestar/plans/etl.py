@@ -77,7 +77,13 @@ def key_metrics(key: str) -> dict[str, Column]:
 
 def typed_metrics(rules: CleanRules) -> dict[str, Column]:
     tests = coordinate_predicates(*COORDINATES, rules.latitude_range, rules.longitude_range)
-    return {"rows_unique": row_count(), **{n: F.count_if(test) for n, test in tests.items()}}
+    return {"rows_unique": row_count(), "ids_respelled": F.count_if(is_respelled("collision_id")),
+            **{n: F.count_if(test) for n, test in tests.items()}}
+
+
+def is_respelled(key: str) -> Column:
+    """Whether the typed id would be written otherwise than the text is, or is missing."""
+    return ~F.col(key).eqNullSafe(lenient_long(F.col(key)).cast("string"))
 
 
 def clean_metrics() -> dict[str, Column]:
@@ -200,7 +206,8 @@ def stage_clean(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
         counts = watch.values()
         if not watch.is_exact():  # rows before the shuffle may have been counted twice
             counts |= count_keyed(raw, columns)
-        check_ids(clean)
+        if counts["ids_respelled"]:  # else the typed ids are as unique as the texts were
+            check_ids(clean)
     return StagedClean(path, clean, standard_dimensions(rules), counts)
 
 

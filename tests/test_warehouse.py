@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from casestar.operators.facts import fits_broadcast
 from casestar.operators.keys import KeyedTable, assign_dense_key
 from casestar.operators.quality import GateFailure
 from casestar.operators.rollup import FOREIGN_KEYS, star_base
+from casestar.plans import etl
 from casestar.plans.etl import build_warehouse
 from casestar.schemas import WAREHOUSE
 from casestar.sources.warehouse import open_warehouse
@@ -156,3 +159,55 @@ def test_a_rebuild_of_the_same_records_changes_no_key(spark, conf, tmp_path):
     second = build_warehouse(spark, raw.repartition(5), str(tmp_path), keep_keys=True)
     for name in WAREHOUSE:
         assert rows(first.table(name)) == rows(second.table(name)), name
+
+
+def given_tables(spark, folder: str) -> str:
+    """Twenty orders in the columns the raw records are made of. Part 1 makes a record without an
+    id, part 2 a blank one, part 3 a malformed date, part 4 a copy of the id of part 0."""
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey bigint, r_name string"),
+        "nation": ([(0, 0)], "n_nationkey bigint, n_regionkey bigint"),
+        "customer": ([(0, 0, "M")], "c_custkey bigint, c_nationkey bigint, c_mktsegment string"),
+        "orders": ([(o, 0, "1-URGENT") for o in range(20)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderpriority string"),
+        "part": ([(p, f"t{p}", "b", p) for p in range(7)],
+                 "p_partkey bigint, p_type string, p_brand string, p_size int"),
+        "supplier": ([(s, f"s{s}") for s in range(3)], "s_suppkey bigint, s_name string"),
+        "lineitem": ([(o, p, (o + p) % 3, p % 4, 5.0, date(1996, 1, 1 + o)) for o in range(20)
+                      for p in range(7)],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                     "l_quantity double, l_shipdate date"),
+    }
+    for name, (values, schema) in tables.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_the_warehouse_needs_no_landed_raw_zone(spark, tmp_path):
+    sf = given_tables(spark, str(tmp_path / "alone"))
+    alone = fixture.warehouse(spark, sf)
+    assert not [f for f in os.listdir(fixture.work_path(spark, sf)) if f.startswith("raw_zone")]
+    sf = given_tables(spark, str(tmp_path / "after"))
+    landed = fixture.raw_zone(spark, sf)
+    assert "raw_zone" in fixture.raw_once(spark, sf).inputFiles()[0]
+    assert (landed.count(), alone.rows["fact_crash"]) == (140, 60)
+    after = fixture.warehouse(spark, sf)
+    for name in WAREHOUSE:
+        assert rows(alone.table(name)) == rows(after.table(name)), name
+    assert rows(alone.audit()) == rows(after.audit())
+
+
+def test_ids_are_checked_again_only_if_typing_respells_them(spark, tmp_path, monkeypatch):
+    checked, check = [], etl.check_ids
+    monkeypatch.setattr(etl, "check_ids", lambda clean: checked.append(1) or check(clean))
+    plain = raw_frame(spark, {"collision_id": "7"}, {"collision_id": "7"}, {"collision_id": "-8"})
+    assert etl.stage_clean(plain, str(tmp_path)).clean.count() == 2 and not checked
+    spelled = raw_frame(spark, {"collision_id": "07"}, {"collision_id": "8"})
+    assert etl.stage_clean(spelled, str(tmp_path)).clean.count() == 2 and len(checked) == 1
+    for text in ("07", " 7", "7.0", "+7"):
+        with pytest.raises(GateFailure, match="duplicate_ids=1"):
+            etl.stage_clean(raw_frame(spark, {"collision_id": "7"}, {"collision_id": text}),
+                            str(tmp_path))
+    with pytest.raises(GateFailure, match="null_collision_id=1"):
+        etl.stage_clean(raw_frame(spark, {"collision_id": "x"}), str(tmp_path))
+    assert len(checked) == 6
