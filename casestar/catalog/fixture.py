@@ -10,21 +10,24 @@ import hashlib
 import uuid
 from threading import Lock
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casestar.config import RAW_TO_PUBLISHED, QuestionRules
+from casestar.config import RAW_TO_PUBLISHED, QuestionRules, RawColumns
 from casestar.operators.dimensions import build_dimension
 from casestar.operators.keys import KeyedTable
+from casestar.operators.quality import file_audit
 from casestar.plans.etl import (
     StagedClean,
     StagedStar,
     publish_star,
+    share_of_ids,
     stage_clean,
     stage_dimensions,
 )
 from casestar.schemas import RAW
-from casestar.session import shared_folder
+from casestar.session import passes_for, released_shuffles, shared_folder
 from casestar.sources.readers import read_table
 from casestar.sources.warehouse import Warehouse
 from casestar.sources.writers import write_table
@@ -139,15 +142,19 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table as landed: written once per application, for the queries on raw records."""
     def land() -> str:
         path = scratch_path(spark, sf_dir, "raw_zone")
-        write_table(raw_records(spark, sf_dir), path)
+        raw, passes = raw_records(spark, sf_dir), build_passes(spark, sf_dir)
+        with released_shuffles(spark):
+            for at in range(passes):
+                write_table(share_of_ids(raw, RawColumns(), at, passes), path,
+                            mode="append" if at else "overwrite")
         return path
 
     return read_table(spark, _once(spark, sf_dir, "raw_zone", land), RAW)
 
 
 def raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table for a single pass: as landed if a query asked for the raw zone before, else
-    straight from the joins, so its text columns are not written only to be read back once."""
+    """The raw table for the build: as landed if a query asked for the raw zone before, else
+    straight from the joins, so its text columns are not written only to be read back."""
     landed = (spark.sparkContext.applicationId, sf_dir, "raw_zone") in _built
     return raw_zone(spark, sf_dir) if landed else raw_records(spark, sf_dir)
 
@@ -155,8 +162,20 @@ def raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned(spark: SparkSession, sf_dir: str) -> StagedClean:
     """The clean table alone, staged once per application."""
     raw = raw_once(spark, sf_dir)
-    return _once(spark, sf_dir, "cleaned",
-                 lambda: stage_clean(raw, work_path(spark, sf_dir, "warehouse")))
+    return _once(spark, sf_dir, "cleaned", lambda: stage_clean(
+        raw, work_path(spark, sf_dir, "warehouse"), passes=build_passes(spark, sf_dir)))
+
+
+def build_passes(spark: SparkSession, sf_dir: str) -> int:
+    """From the listed bytes of the lines, the largest table under the raw one; 1 without them."""
+    try:
+        lines = file_audit(spark, f"{sf_dir}/lineitem.parquet")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
+    with released_shuffles(spark):
+        return passes_for(lines.agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0])
 
 
 def star(spark: SparkSession, sf_dir: str) -> StagedStar:

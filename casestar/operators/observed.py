@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -50,6 +51,14 @@ class Watch:
         return not stage_ran_again(self._spark, self._tag)
 
 
+def added(counts: Iterable[dict[str, int]]) -> dict[str, int]:
+    """The counts of several passes over different rows, added up by name."""
+    total: dict[str, int] = {}
+    for found in counts:
+        total |= {name: total.get(name, 0) + int(value) for name, value in found.items()}
+    return total
+
+
 def watched(df: DataFrame, watch: Watch | None, metrics: dict[str, Column]) -> DataFrame:
     return df if watch is None else watch.on(df, metrics)
 

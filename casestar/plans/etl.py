@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -40,7 +41,7 @@ from casestar.operators.facts import (
     hot_natural_keys,
 )
 from casestar.operators.keys import KeyedTable
-from casestar.operators.observed import Watch, row_count, watched
+from casestar.operators.observed import Watch, added, row_count, watched
 from casestar.operators.quality import (
     GateFailure,
     base_metrics,
@@ -51,9 +52,10 @@ from casestar.operators.quality import (
     integrity_row,
     keys_agree,
 )
+from casestar.session import released_shuffles
 from casestar.sources.retention import VERSION_PREFIX, drop_lease, take_lease
 from casestar.sources.warehouse import AUDIT, Warehouse, latest_warehouse, publish
-from casestar.sources.writers import rebalanced, staged, write_table
+from casestar.sources.writers import rebalanced, write_table
 
 COORDINATES = ["latitude", "longitude"]
 ALL_DIMENSIONS = ("dim_date", "dim_location", "dim_vehicle", "dim_factor")
@@ -145,6 +147,7 @@ class StagedClean:
 
     path: str
     clean: DataFrame
+    parts: tuple[DataFrame, ...]  # the same rows, as the passes wrote them
     dims: dict[str, Dimension]
     counts: dict[str, int]  # observed while the clean table was written
 
@@ -159,64 +162,103 @@ class StagedStar(StagedClean):
 
     keyed: dict[str, KeyedTable]
 
-    def fact(self, broadcast=()) -> DataFrame:
-        """The fact; hot natural keys of the dimensions that are not broadcast are looked up
-        first, in one pass over the columns of those keys."""
+    def hot(self, broadcast=()) -> dict[str, list[int]]:
+        """Hot natural keys of the dimensions that are not broadcast, in one pass over the columns
+        of those keys."""
         shuffled = [name for name in self.dims
                     if name not in broadcast or not fits_broadcast(self.keyed[name])]
-        base = self.base()
-        return build_fact(base, self.dims, self.keyed, broadcast=broadcast,
-                          hot=hot_natural_keys(base, self.dims, shuffled))
+        return hot_natural_keys(self.base(), self.dims, shuffled)
+
+    def fact(self, broadcast=()) -> DataFrame:
+        """The fact; its hot natural keys are looked up first."""
+        return build_fact(self.base(), self.dims, self.keyed, broadcast=broadcast,
+                          hot=self.hot(broadcast))
+
+    def fact_parts(self, broadcast=()) -> Iterator[DataFrame]:
+        """The fact as one frame per part of the clean table."""
+        hot = self.hot(broadcast)
+        for part in self.parts:
+            yield build_fact(fact_base(part, self.dims.values()), self.dims, self.keyed,
+                             broadcast=broadcast, hot=hot)
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str,
                     columns: RawColumns = RawColumns(), rules: CleanRules = CleanRules(),
                     partition_by=PARTITION_COLUMNS, broadcast=ALL_DIMENSIONS,
-                    keep_keys: bool = False) -> Warehouse:
+                    keep_keys: bool = False, passes: int = 1) -> Warehouse:
     """Build, check and publish a new version of the warehouse under ``root``.
 
+    With ``passes`` the rows are cleaned and joined a share of the ids at a time, see
+    ``session.passes_for``: ``raw`` is read once a pass, shuffle files take a share of the disk.
+
     ``keep_keys`` takes the rows and keys of the dimensions over from the version that is
     readable now, if there is one, and only adds what is new. Keys that left the warehouse stay
     valid across such builds.
     """
     previous = latest_warehouse(spark, root) if keep_keys else None
-    return publish_star(stage_star(raw, root, columns, rules, previous), root, partition_by,
-                        broadcast)
+    return publish_star(stage_star(raw, root, columns, rules, previous, passes), root,
+                        partition_by, broadcast)
 
 
 def stage_star(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
                rules: CleanRules = CleanRules(),
-               previous: Warehouse | None = None) -> StagedStar:
+               previous: Warehouse | None = None, passes: int = 1) -> StagedStar:
     """Write the cleaned table and the dimensions of a new version.
 
     Every job that follows reads these tables, so a lost executor costs a re-read and all
     jobs see the same survivors and the same keys.
     """
-    return stage_dimensions(stage_clean(raw, root, columns, rules), root, previous)
+    return stage_dimensions(stage_clean(raw, root, columns, rules, passes), root, previous)
 
 
 def stage_clean(raw: DataFrame, root: str, columns: RawColumns = RawColumns(),
-                rules: CleanRules = CleanRules()) -> StagedClean:
-    """Write the cleaned table of a new version and check its ids."""
+                rules: CleanRules = CleanRules(), passes: int = 1) -> StagedClean:
+    """Write the cleaned table of a new version and check its ids.
+
+    Each of the ``passes`` cleans the rows of its share of the ids. Copies of an id fall in the
+    same pass, so the survivors do not depend on the number of passes.
+    """
     spark, version = raw.sparkSession, f"{VERSION_PREFIX}{uuid.uuid4().hex}"
-    path, watch = f"{root}/{version}", Watch(spark)
-    with _leased(spark, root, version):
-        with watch.running():
-            clean = staged(clean_records(raw, columns, rules, watch), f"{path}/_stage/clean")
-        counts = watch.values()
-        if not watch.is_exact():  # rows before the shuffle may have been counted twice
-            counts |= count_keyed(raw, columns)
+    path = f"{root}/{version}"
+    folders = [f"{path}/_stage/clean/{at}" for at in range(passes)]
+    with _leased(spark, root, version), released_shuffles(spark):
+        counts = added(_clean_share(share_of_ids(raw, columns, at, passes), folder, columns, rules)
+                       for at, folder in enumerate(folders))
+        schema = clean_records(raw, columns, rules).schema
+        clean, *parts = [spark.read.schema(schema).parquet(*paths)
+                         for paths in (folders, *zip(folders))]
         if counts["ids_respelled"]:  # else the typed ids are as unique as the texts were
             check_ids(clean)
-    return StagedClean(path, clean, standard_dimensions(rules), counts)
+    return StagedClean(path, clean, tuple(parts), standard_dimensions(rules), counts)
+
+
+def share_of_ids(raw: DataFrame, columns: RawColumns, at: int, passes: int) -> DataFrame:
+    """The raw rows of one of ``passes`` shares of the ids, told by a hash of the text. Where only
+    some of the tables under ``raw`` make the id, the optimizer filters those before the joins."""
+    if passes == 1:
+        return raw
+    key = next(source for source, name in columns.names.items() if name == "collision_id")
+    return raw.where(F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(passes)) == at)
+
+
+def _clean_share(raw: DataFrame, path: str, columns: RawColumns,
+                 rules: CleanRules) -> dict[str, int]:
+    """Write the clean rows of ``raw``; what was observed meanwhile."""
+    watch = Watch(raw.sparkSession)
+    with watch.running():
+        write_table(clean_records(raw, columns, rules, watch), path)
+    if watch.is_exact():
+        return watch.values()
+    # rows before the shuffle may have been counted twice
+    return watch.values() | count_keyed(raw, columns)
 
 
 def stage_dimensions(table: StagedClean, root: str, previous: Warehouse | None = None) -> StagedStar:
     """Write the dimensions of a version whose cleaned table is staged."""
     spark, version = table.clean.sparkSession, table.path.rsplit("/", 1)[-1]
-    with _leased(spark, root, version):
+    with _leased(spark, root, version), released_shuffles(spark):
         keyed = build_dimensions(table.clean, table.dims, table.path, previous)
-    return StagedStar(table.path, table.clean, table.dims, table.counts, keyed)
+    return StagedStar(table.path, table.clean, table.parts, table.dims, table.counts, keyed)
 
 
 @contextmanager
@@ -262,7 +304,8 @@ def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
     spark, version = star.clean.sparkSession, star.path.rsplit("/", 1)[-1]
     take_lease(spark, root, version)
     try:
-        published = _gated(star, partition_by, broadcast)
+        with released_shuffles(spark):
+            published = _gated(star, partition_by, broadcast)
         publish(published, root, version, time.time_ns())
     finally:
         drop_lease(spark, root, version)
@@ -272,15 +315,18 @@ def publish_star(star: StagedStar, root: str, partition_by=PARTITION_COLUMNS,
 def _gated(star: StagedStar, partition_by, broadcast) -> Warehouse:
     """The fact written and checked, with the audit beside it."""
     spark = star.clean.sparkSession
-    watch = Watch(spark)
     metrics = fact_metrics("collision_id", FOREIGN_KEY_ORDER)
-    fact = star.fact(broadcast)
-    if partition_by:
-        # observed behind the rebalancing, in the tasks that write
-        fact = rebalanced(fact, partition_by)
-    write_table(watch.on(fact, metrics), f"{star.path}/fact_crash", partition_by=partition_by)
-
-    found = star.counts | watch.values()
+    counts = []
+    for at, fact in enumerate(star.fact_parts(broadcast)):
+        watch = Watch(spark)
+        if partition_by:
+            # observed behind the rebalancing, in the tasks that write
+            fact = rebalanced(fact, partition_by)
+        write_table(watch.on(fact, metrics), f"{star.path}/fact_crash",
+                    mode="append" if at else "overwrite", partition_by=partition_by)
+        counts.append(watch.values())
+
+    found = star.counts | added(counts)
     written = Warehouse(spark, star.path, rows={}, payload_bytes={}).table("fact_crash")
     # answered from the footers of the files
     in_files = written.count()
